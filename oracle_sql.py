@@ -265,7 +265,9 @@ def sql(select: str, *needs: str, **extra: str) -> str:
 
 
 def r6(expr: str, name: str | None = None, digits: int = 6) -> str:
-    """Round as the Spark side does: to 9 digits in decimal, then on."""
+    """Round as the Spark side does: reports in decimal after dropping noise, all else by floor."""
+    if digits == 6:
+        return f"floor(cast({expr} AS double) * 1e6 + 0.5001e0) / 1e6 AS {name or expr}"
     return f"cast(round(cast({expr} AS decimal(38, 9)), {digits}) AS double) AS {name or expr}"
 
 

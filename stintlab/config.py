@@ -49,7 +49,7 @@ class Scale:
     # A lookup table is broadcast only below both of these, counted on the written table.
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 << 20
-    # A lookup table whose planned size is below this is left to Spark's own join choice.
+    # A lookup table made from less input than this is broadcast without being written first.
     auto_join_bytes: int = 8 << 20
     # Rows kept before tree sampling, and the row count up to which a quantile is exact.
     forest_pool: int = 1_000_000

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from stintlab.config import RULES, SCALE, Rules, Scale
 from stintlab.operators.reports import quantiles
 from stintlab.schemas import ANOMALY_FEATURES, require
+from stintlab.sources.shipping import ship_package
 from stintlab.sources.tables import path_exists, stage, write_table
 
 log = logging.getLogger("stintlab")
@@ -158,6 +159,7 @@ def fit_forest(
     rules: Rules = RULES,
     scale: Scale = SCALE,
 ) -> Forest:
+    ship_package(training.sparkSession)
     rows = training.count()
     if rows < rules.min_training_rows:
         raise ValueError(f"{rows} training rows, need {rules.min_training_rows}")
@@ -165,7 +167,7 @@ def fit_forest(
     depth_limit = math.ceil(math.log2(max(size, 2)))
     seed = rules.forest_seed
 
-    def grow(key, group: pd.DataFrame) -> pd.DataFrame:
+    def grow(key, group):
         tree = int(key[0])
         rng = np.random.default_rng([seed, tree])
         sample = _sample_rows(group, columns, size, rng)
@@ -221,7 +223,9 @@ class _Walker:
 
 def raw_score(forest: Forest) -> Column:
     """Score of each row in (-1, 0); lower is stranger; null where an input is unknown."""
-    shared = forest.nodes.sparkSession.sparkContext.broadcast(_Walker(forest))
+    spark = forest.nodes.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(_Walker(forest))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlab.config import SCALE, Scale
-from stintlab.sources.tables import planned_bytes, stage
+from stintlab.sources.tables import source_bytes, stage
 
 
 def all_of(conditions: list[Column]) -> Column:
@@ -16,16 +16,16 @@ def all_of(conditions: list[Column]) -> Column:
 
 
 def sized(table: DataFrame, scale: Scale = SCALE) -> DataFrame:
-    """Mark a lookup table for broadcast if its written form is small enough.
+    """Mark a lookup table for broadcast if it is known to be small enough.
 
-    A table whose plan is already small is left alone: Spark's own size rules apply to it.
-    A larger one is written once and counted from its footers; past the limits it is returned
-    unmarked, and the join shuffles with AQE splitting skewed partitions of the other side.
+    A table made from less input than auto_join_bytes cannot outgrow it. Any other is written
+    once, and its files are measured and its rows counted from the footers. Past the limits it is
+    returned unmarked: the join shuffles, and AQE splits skewed partitions of the other side.
     """
-    if planned_bytes(table) <= scale.auto_join_bytes:
-        return table
+    if source_bytes(table) <= scale.auto_join_bytes:
+        return F.broadcast(table)
     table = stage(table)
-    if planned_bytes(table) <= scale.broadcast_bytes and table.count() <= scale.broadcast_rows:
+    if source_bytes(table) <= scale.broadcast_bytes and table.count() <= scale.broadcast_rows:
         return F.broadcast(table)
     return table
 

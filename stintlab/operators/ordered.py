@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stintlab.config import SCALE, Scale
 from stintlab.operators.joins import all_of
-from stintlab.sources.tables import planned_bytes, stage
+from stintlab.sources.tables import source_bytes, stage
 
 Frames = dict[str, tuple[Column, int, int]]
 
@@ -33,7 +33,7 @@ def split_hot(
     The list of oversized groups has at most max_hot rows, so it is broadcast; a group that is
     not on a full list is smaller than all on it and thus under 1/max_hot of the rows.
     """
-    if planned_bytes(df.select(*keys)) <= scale.small_bytes:
+    if source_bytes(df.select(*keys)) <= scale.small_bytes:
         return df, None
     top = (
         df.groupBy(*keys)

@@ -13,18 +13,16 @@ from stintlab.schemas import LAP_ORDER, STINT_KEYS
 
 def _frames() -> Frames:
     x, y = F.col("stint_lap_number").cast("double"), F.col("lap_time_sec")
-    frames = {}
-    for laps in (3, 5):
-        frames[f"_slope_{laps}"] = (F.regr_slope(y, x), 1 - laps, 0)
-        frames[f"_seen_{laps}"] = (F.count(y), 1 - laps, 0)
-    return frames
+    return {f"_slope_{laps}": (F.regr_slope(y, x), 1 - laps, 0) for laps in (3, 5)}
 
 
 def _finish(df: DataFrame) -> DataFrame:
     known = all_of([F.col(k).isNotNull() for k in [*STINT_KEYS, *LAP_ORDER]])
+    # On a clean lap the running count is the number of clean laps a frame could reach.
+    seen = F.col("clean_laps_in_stint_so_far")
     columns = {
         f"degradation_slope_{laps}": F.when(
-            F.col("clean_lap") & known & (F.col(f"_seen_{laps}") >= laps), F.col(f"_slope_{laps}")
+            F.col("clean_lap") & known & (seen >= laps), F.col(f"_slope_{laps}")
         )
         for laps in (3, 5)
     }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stintlab.config import SCALE, Scale
 from stintlab.operators.joins import all_of, sized
 from stintlab.schemas import WEATHER_DDL, WEATHER_NAMES, names_of, struct_of
-from stintlab.sources.tables import planned_bytes
+from stintlab.sources.tables import source_bytes
 
 SESSION = ["year", "race_round"]
 MEASURES = names_of(WEATHER_DDL)
@@ -43,7 +43,7 @@ def without_weather(laps: DataFrame) -> DataFrame:
 
 def bucket_width(samples: DataFrame, scale: Scale) -> float:
     """Bucket width, narrowed for large weather tables until even the densest bucket is small."""
-    if planned_bytes(samples) <= scale.small_bytes:
+    if source_bytes(samples) <= scale.small_bytes:
         return _BUCKET_SECONDS
     bucket = F.floor(F.col("t_sec") / _BUCKET_SECONDS)
     densest = samples.groupBy(*SESSION, bucket).count().agg(F.max("count")).first()[0] or 1

@@ -41,7 +41,8 @@ def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = fn(spark, sf_dir)
         doubles = [f.name for f in out.schema if f.dataType.typeName() == "double"]
-        return out.withColumns({c: C.tidy(F.col(c), 6) for c in doubles})
+        # Ties, and what floating noise makes of them, go up.
+        return out.withColumns({c: F.expr(f"floor(`{c}` * 1e6D + 0.5001D) / 1e6D") for c in doubles})
 
     QUERIES[fn.__name__] = run
     return fn
@@ -68,7 +69,8 @@ def features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weather_features(spark: SparkSession, d: str) -> DataFrame:
-    return L.build_lap_features(weather_laps(spark, d))
+    """Weather depends on the lap start alone, so it joins last: shuffled rows stay narrow."""
+    return attach_weather(features(spark, d), weather(spark, d))
 
 
 def flagged(spark: SparkSession, d: str) -> DataFrame:
@@ -85,7 +87,7 @@ def events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weather_events(spark: SparkSession, d: str) -> DataFrame:
-    return lap_view.stand_in_anomaly(score_laps(weather_laps(spark, d)).events)
+    return attach_weather(events(spark, d), weather(spark, d))
 
 
 def counted(spark: SparkSession, d: str) -> DataFrame:
@@ -373,7 +375,8 @@ def anomaly_training_frame(spark, d):
 
 @query
 def forest_scores(spark, d):
-    table = L.add_stint_windows(L.add_clean_lap(weather_laps(spark, d)))
+    table = L.add_stint_windows(L.add_clean_lap(laps(spark, d)))
+    table = attach_weather(table, weather(spark, d))
     return M.score_events(table, hand_forest(spark)).select(
         *LAP_KEY, "anomaly_score", "is_anomaly"
     )
@@ -567,7 +570,8 @@ def driver_pace(spark, d):
 
 @query
 def compound_temp(spark, d):
-    return reports.compound_temp(L.add_stint_windows(L.add_clean_lap(weather_laps(spark, d))))
+    table = L.add_stint_windows(L.add_clean_lap(laps(spark, d)))
+    return reports.compound_temp(attach_weather(table, weather(spark, d)))
 
 
 @query

@@ -6,9 +6,8 @@ rules are those of FIXTURES.md; every row of the table is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DayTimeIntervalType
 
 from stintlab.config import SCALE, Scale
 from stintlab.functions import columns as C
@@ -19,79 +18,79 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _race_round() -> Column:
-    return (1 + F.floor(F.col("user_id") / 20)).cast("int")
-
-
-def _session_seconds() -> Column:
-    since = F.col("ts") - F.expr("timestamp_ntz '2024-01-01 00:00:00'")
-    return C.seconds(since, DayTimeIntervalType())
+_SECONDS = """unix_micros(timestamp '1970-01-01 00:00:00Z'
+    + (ts - timestamp_ntz '2024-01-01 00:00:00')) / 1e6D"""
+
+_RACE = "cast(1 + floor(user_id / 20) AS int)"
+
+# Event columns with the derived values that several lap columns use.
+_BASIS = [
+    "event_id", "user_id", "lap_number",
+    f"{_RACE} AS race_round",
+    "cast(1 + floor((lap_number - 1) / 15) AS bigint) AS stint",
+    f"{_SECONDS} AS sec",
+    "if(user_id % 13 <> 0, concat('Team ', user_id % 10), null) AS team",
+    "if(event_id % 37 <> 0, 88D + least(value, 200D) / 20D, null) AS lap_time_sec",
+]
+
+_LAP = [
+    "2024 AS year",
+    "race_round",
+    "concat('Race ', race_round) AS race_name",
+    "'Race' AS session_name",
+    "concat('D', user_id) AS driver_code",
+    "cast(user_id AS string) AS driver_number",
+    "team",
+    "constructor_key",
+    "lap_number",
+    "lap_time_sec",
+    "lap_time_sec * 0.3D AS sector1_sec",
+    "lap_time_sec * 0.4D AS sector2_sec",
+    "lap_time_sec * 0.3D AS sector3_sec",
+    """CASE WHEN event_id % 251 = 0 THEN 'INTERMEDIATE'
+            WHEN (user_id + stint) % 11 = 0 THEN null
+            WHEN (user_id + stint) % 3 = 0 THEN 'SOFT'
+            WHEN (user_id + stint) % 3 = 1 THEN 'MEDIUM'
+            ELSE 'HARD' END AS compound""",
+    """if(event_id % 41 <> 0,
+          cast((lap_number - 1) % 15 + 1 + 10 * (user_id % 2) AS double), null) AS tyre_life""",
+    "stint",
+    "if(lap_number % 15 = 0, sec, null) AS pit_in_time",
+    "if(lap_number % 15 = 1 AND lap_number > 1, sec, null) AS pit_out_time",
+    """CASE WHEN event_id % 29 = 0 THEN null WHEN event_id % 23 = 0 THEN '24'
+            WHEN event_id % 19 = 0 THEN '67' WHEN event_id % 7 = 0 THEN '12'
+            ELSE '1' END AS track_status""",
+    "if(event_id % 31 <> 0, event_id % 17 <> 0, null) AS is_accurate",
+    "sec AS lap_start_time_sec",
+    "event_id",
+]
+
+_WEATHER = [
+    "2024 AS year",
+    f"{_RACE} AS race_round",
+    f"{_SECONDS} AS t_sec",
+    "cast(15 + k % 15 AS double) AS air_temp_c",
+    "cast(25 + k % 20 AS double) AS track_temp_c",
+    "cast(40 + k % 50 AS double) AS humidity",
+    "cast(1000 + k % 20 AS double) AS pressure",
+    "k % 13 = 0 AS rainfall",
+    "cast(k % 8 AS double) + 0.5D AS wind_speed",
+    "cast((k * 37) % 360 AS double) AS wind_direction",
+]
 
 
 def laps_of(events: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """The 21 lap columns plus event_id."""
-    e = ranked(events, ["user_id"], ["ts", "event_id"], "lap_number", scale)
-    stint = (1 + F.floor((F.col("lap_number") - 1) / 15)).cast("bigint")
-    e = e.withColumns({"stint": stint, "sec": _session_seconds()})
-    eid, user, lap = F.col("event_id"), F.col("user_id"), F.col("lap_number")
-    team = F.when(user % 13 != 0, F.concat(F.lit("Team "), (user % 10).cast("string")))
-    lap_time = F.when(eid % 37 != 0, 88 + F.least(F.col("value"), F.lit(200.0)) / 20)
-    mix = user + F.col("stint")
-    compound = (
-        F.when(eid % 251 == 0, "INTERMEDIATE")
-        .when(mix % 11 == 0, F.lit(None))
-        .when(mix % 3 == 0, "SOFT")
-        .when(mix % 3 == 1, "MEDIUM")
-        .otherwise("HARD")
-    )
-    tyre = ((lap - 1) % 15 + 1 + 10 * (user % 2)).cast("double")
-    status = (
-        F.when(eid % 29 == 0, F.lit(None))
-        .when(eid % 23 == 0, "24")
-        .when(eid % 19 == 0, "67")
-        .when(eid % 7 == 0, "12")
-        .otherwise("1")
-    )
-    return e.select(
-        F.lit(2024).alias("year"),
-        _race_round().alias("race_round"),
-        F.concat(F.lit("Race "), _race_round().cast("string")).alias("race_name"),
-        F.lit("Race").alias("session_name"),
-        F.concat(F.lit("D"), user.cast("string")).alias("driver_code"),
-        user.cast("string").alias("driver_number"),
-        team.alias("team"),
-        C.slug(team).alias("constructor_key"),
-        lap.alias("lap_number"),
-        lap_time.alias("lap_time_sec"),
-        (lap_time * 0.3).alias("sector1_sec"),
-        (lap_time * 0.4).alias("sector2_sec"),
-        (lap_time * 0.3).alias("sector3_sec"),
-        compound.alias("compound"),
-        F.when(eid % 41 != 0, tyre).alias("tyre_life"),
-        F.col("stint"),
-        F.when(lap % 15 == 0, F.col("sec")).alias("pit_in_time"),
-        F.when((lap % 15 == 1) & (lap > 1), F.col("sec")).alias("pit_out_time"),
-        status.alias("track_status"),
-        F.when(eid % 31 != 0, eid % 17 != 0).alias("is_accurate"),
-        F.col("sec").alias("lap_start_time_sec"),
-        eid,
-    )
+    numbered = ranked(events, ["user_id"], ["ts", "event_id"], "lap_number", scale)
+    basis = numbered.selectExpr(*_BASIS)
+    return basis.withColumn("constructor_key", C.slug(F.col("team"))).selectExpr(*_LAP)
 
 
 def weather_of(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.filter(F.col("event_type") == "view").select(
-        F.lit(2024).alias("year"),
-        _race_round().alias("race_round"),
-        _session_seconds().alias("t_sec"),
-        (15 + k % 15).cast("double").alias("air_temp_c"),
-        (25 + k % 20).cast("double").alias("track_temp_c"),
-        (40 + k % 50).cast("double").alias("humidity"),
-        (1000 + k % 20).cast("double").alias("pressure"),
-        (k % 13 == 0).alias("rainfall"),
-        (k % 8 + F.lit(0.5)).cast("double").alias("wind_speed"),
-        ((k * 37) % 360).cast("double").alias("wind_direction"),
-    )
+    views = events.filter("event_type = 'view'")
+    return views.selectExpr(
+        "ts", "user_id", "cast(get_json_object(props, '$.k') AS int) AS k"
+    ).selectExpr(*_WEATHER)
 
 
 def stand_in_anomaly(df: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from stintlab.config import RULES, Rules
 from stintlab.operators import live
 from stintlab.schemas import LIVE_KEYS
 from stintlab.sources.replay import parse_messages
+from stintlab.sources.shipping import ship_package
 from stintlab.sources.tables import path_exists
 
 _ORDER = "lap_number"
@@ -50,6 +51,7 @@ def track_runs(events: DataFrame, idle: str | None = None) -> DataFrame:
     of arrival. The source bounds a batch, and with it what one driver can bring at a time. With
     idle set, the state of a driver unseen for that many milliseconds is dropped.
     """
+    ship_package(events.sparkSession)
     wait = int(idle) if idle else None
     timeout = GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout
     up = F.coalesce((F.col("risk_status") == "HIGH") & F.col("clean_lap"), F.lit(False))
