@@ -111,6 +111,14 @@ def _pace_blocked(df: DataFrame, scale: Scale) -> DataFrame:
     return _pace_delta(blocked_framed(df, STINT_KEYS, "stint_lap_number", _pace_frames(), scale))
 
 
+def stint_windows_plain(df: DataFrame) -> DataFrame:
+    return _pace_plain(_count_plain(df))
+
+
+def stint_windows_blocked(df: DataFrame, scale: Scale) -> DataFrame:
+    return _pace_blocked(_count_blocked(df, scale), scale)
+
+
 def add_stint_counters(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Position of each lap in its stint, and clean laps in the stint up to it."""
     return per_group(
@@ -128,8 +136,8 @@ def add_stint_windows(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
     return per_group(
         df,
         STINT_KEYS,
-        lambda part: _pace_plain(_count_plain(part)),
-        lambda part: _pace_blocked(_count_blocked(part, scale), scale),
+        stint_windows_plain,
+        lambda part: stint_windows_blocked(part, scale),
         scale,
     )
 

@@ -6,16 +6,19 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stintlab.config import RULES, SCALE, Rules, Scale
-from stintlab.functions import columns as C
 from stintlab.operators import baselines as B
+from stintlab.operators import forest as M
 from stintlab.operators import laps as L
 from stintlab.operators import slopes as S
+from stintlab.operators.joins import lookup
 from stintlab.operators.ordered import per_group
 from stintlab.operators.risk import add_risk_score
-from stintlab.schemas import EVENT_DDL, STINT_KEYS, names_of
+from stintlab.schemas import FIELD_KEYS, STINT_KEYS
+from stintlab.sources.laps import resolve_laps
+from stintlab.sources.replay import race_is
+from stintlab.sources.tables import write_table
 
 log = logging.getLogger("stintlab")
 
@@ -26,8 +29,8 @@ def stint_table(laps: DataFrame, rules: Rules = RULES, scale: Scale = SCALE) ->
     return per_group(
         flagged,
         STINT_KEYS,
-        lambda part: S.slopes_plain(L._pace_plain(L._count_plain(part))),
-        lambda part: S.slopes_blocked(L._pace_blocked(L._count_blocked(part, scale), scale), scale),
+        lambda part: S.slopes_plain(L.stint_windows_plain(part)),
+        lambda part: S.slopes_blocked(L.stint_windows_blocked(part, scale), scale),
         scale,
     )
 
@@ -56,6 +59,93 @@ def score_features(features: DataFrame, rules: Rules = RULES, scale: Scale = SCA
     table = S.add_degradation_slopes(features, scale)
     base, field = B.lap_statistics(table)
     field = field.drop("field_median_lap_time")
-    events = B._versus_field(B.lookup(table, field, B.FIELD_KEYS, scale=scale))
+    events = B.versus_field(lookup(table, field, FIELD_KEYS, scale=scale))
     events = add_risk_score(B.attach_baselines(events, base, rules, scale), rules)
     return Scored(events, base)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where the batch job keeps its tables."""
+
+    raw: str
+    raw_single: str
+    features: str
+    baselines: str
+    events: str
+    model: str
+
+    @classmethod
+    def under(cls, root: str) -> Layout:
+        return cls(
+            raw=f"{root}/raw/laps",
+            raw_single=f"{root}/raw/laps.parquet",
+            features=f"{root}/processed/lap_features",
+            baselines=f"{root}/processed/baselines",
+            events=f"{root}/processed/replay_events",
+            model=f"{root}/models/forest",
+        )
+
+    def views(self) -> dict[str, str]:
+        return {
+            "lap_features": self.features,
+            "baselines": self.baselines,
+            "replay_events": self.events,
+        }
+
+
+def write_features(
+    spark: SparkSession, at: Layout, rules: Rules = RULES, scale: Scale = SCALE
+) -> DataFrame:
+    """Raw laps to the lap-feature table."""
+    laps = spark.read.parquet(resolve_laps(spark, at.raw, at.raw_single))
+    # The folder value repeats race_round, which the laps carry themselves.
+    laps = laps.drop("round")
+    write_table(build_ordered(laps, rules, scale), at.features, by=["year"])
+    return spark.read.parquet(at.features)
+
+
+def build_ordered(laps: DataFrame, rules: Rules, scale: Scale) -> DataFrame:
+    features = L.build_lap_features(laps, rules, scale)
+    return features.select(*laps.columns, *[c for c in features.columns if c not in laps.columns])
+
+
+def write_model(
+    spark: SparkSession, at: Layout, rules: Rules = RULES, scale: Scale = SCALE
+) -> M.Forest:
+    """Train the anomaly model on the lap-feature table and keep it."""
+    training = M.training_frame(spark.read.parquet(at.features))
+    forest = M.fit_forest(training, rules=rules, scale=scale)
+    forest.save(at.model)
+    return forest
+
+
+def write_events(
+    spark: SparkSession,
+    at: Layout,
+    race: str | None = None,
+    rules: Rules = RULES,
+    scale: Scale = SCALE,
+) -> DataFrame:
+    """Baselines and scored replay events, for all races or for one.
+
+    Baselines always come from all races. The anomaly model is used if there is one.
+    """
+    scored = score_features(spark.read.parquet(at.features), rules, scale)
+    write_table(scored.baselines, at.baselines)
+    events = scored.events if race is None else scored.events.filter(race_is(race))
+    events = M.score_events(events, M.load_forest(spark, at.model))
+    write_table(events, at.events, by=["year"])
+    written = spark.read.parquet(at.events)
+    if written.isEmpty():
+        log.warning("no replay events for %s", race or "any race")
+    return written
+
+
+def run_batch(
+    spark: SparkSession, at: Layout, race: str | None = None, rules: Rules = RULES
+) -> DataFrame:
+    """Features, then the model, then events: later steps read what earlier ones wrote."""
+    write_features(spark, at, rules)
+    write_model(spark, at, rules)
+    return write_events(spark, at, race, rules)

@@ -69,7 +69,18 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
 
 
 def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
-    """Replace a whole table, also when it is empty, so that readers always find a schema."""
-    writer = df.hint("rebalance", *by).write if by else df.write
-    writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    """Replace a whole table; an empty one still holds its schema for readers."""
+    if not by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    (
+        df.hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+    spark = df.sparkSession
+    if not path_exists(spark, f"{path}/{by[0]}=*"):
+        # No partition means no file, so nothing would tell the columns.
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)

@@ -108,7 +108,7 @@ class LiveTables:
             last = folds.agg(F.max("batch_id")).first()[0]
             later = rows.filter(F.col("batch_id") > last)
             rows = later.unionByName(folds.filter(F.col("batch_id") == last))
-        return _newest(rows)
+        return _newest(rows).drop("batch_id")
 
     def fold_state(self, upto: int) -> None:
         """Settle the state of all batches up to a finished one, so readers skip their folders."""
