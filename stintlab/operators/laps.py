@@ -13,7 +13,7 @@ from stintlab.operators.ordered import (
     blocked_framed,
     blocked_running,
     framed,
-    per_group,
+    per_stint,
     spread_rank,
 )
 from stintlab.schemas import FIELD_KEYS, LAP_ORDER, RAW_COLUMNS, STINT_KEYS, require
@@ -121,24 +121,18 @@ def stint_windows_blocked(df: DataFrame, scale: Scale) -> DataFrame:
 
 def add_stint_counters(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Position of each lap in its stint, and clean laps in the stint up to it."""
-    return per_group(
-        df, STINT_KEYS, _count_plain, lambda hot: _count_blocked(hot, scale), scale
-    )
+    return per_stint(df, _count_plain, lambda hot: _count_blocked(hot, scale), scale)
 
 
 def add_rolling_pace(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Clean-lap averages over the last 3 and 5 laps and over the 5 before this one."""
-    return per_group(df, STINT_KEYS, _pace_plain, lambda hot: _pace_blocked(hot, scale), scale)
+    return per_stint(df, _pace_plain, lambda hot: _pace_blocked(hot, scale), scale)
 
 
 def add_stint_windows(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Counters and rolling pace together: one shuffle on the stint, oversized stints split once."""
-    return per_group(
-        df,
-        STINT_KEYS,
-        stint_windows_plain,
-        lambda part: stint_windows_blocked(part, scale),
-        scale,
+    return per_stint(
+        df, stint_windows_plain, lambda hot: stint_windows_blocked(hot, scale), scale
     )
 
 

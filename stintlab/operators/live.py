@@ -72,12 +72,22 @@ def _runs_blocked(df: DataFrame, scale: Scale) -> DataFrame:
     )
 
 
-def add_consecutive_high(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
+def add_consecutive_high(
+    df: DataFrame, scale: Scale = SCALE, counted: DataFrame | None = None
+) -> DataFrame:
     """Length of the run of clean HIGH laps ending at each lap; 0 elsewhere.
 
-    It is the distance to the last lap that was not one.
+    It is the distance to the last lap that was not one. counted may name the laps that df was
+    derived from, to look for oversized groups there.
     """
-    out = per_group(df, LIVE_KEYS, _runs_plain, lambda hot: _runs_blocked(hot, scale), scale)
+    out = per_group(
+        df,
+        LIVE_KEYS,
+        _runs_plain,
+        lambda hot: _runs_blocked(hot, scale),
+        scale,
+        counted=counted,
+    )
     return out.withColumn("consecutive_high", _run_length()).drop("_lap_rank", "_break")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stintlab.config import SCALE, Scale
 from stintlab.operators.joins import all_of
+from stintlab.schemas import LIVE_KEYS, STINT_KEYS
 from stintlab.sources.tables import source_bytes, stage
 
 Frames = dict[str, tuple[Column, int, int]]
@@ -25,28 +26,45 @@ def same_keys(keys: list[str], prefix: str) -> Column:
     return all_of([F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
 
-def split_hot(
-    df: DataFrame, keys: list[str], scale: Scale = SCALE
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of oversized groups if there are any.
+def hot_groups(df: DataFrame, keys: list[str], scale: Scale = SCALE) -> DataFrame | None:
+    """Keys of the oversized groups, largest first, or None if there are none.
 
-    The list of oversized groups has at most max_hot rows, so it is broadcast; a group that is
-    not on a full list is smaller than all on it and thus under 1/max_hot of the rows.
+    At most max_hot rows, so the list is safe to collect and to broadcast. A group left off a
+    full list is smaller than all on it, and thus under 1/max_hot of the rows.
     """
     if source_bytes(df.select(*keys)) <= scale.small_bytes:
-        return df, None
+        return None
     top = (
         df.groupBy(*keys)
         .count()
         .filter(F.col("count") > scale.hot_rows)
         .orderBy(F.desc("count"), *keys)
         .limit(scale.max_hot)
-        .select(*[F.col(k).alias("_hot_" + k) for k in keys])
+        .select(*keys)
     )
     found = top.collect()
-    if not found:
+    return df.sparkSession.createDataFrame(found, top.schema) if found else None
+
+
+def split_hot(
+    df: DataFrame,
+    keys: list[str],
+    scale: Scale = SCALE,
+    coarse: list[str] | None = None,
+    counted: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of oversized groups if there are any.
+
+    coarse is a part of the keys that is cheaper to count: where its groups all are small, finer
+    ones are too. counted is a cheaper table with the same rows, if df is costly to derive.
+    """
+    counted = df if counted is None else counted
+    if coarse and hot_groups(counted, coarse, scale) is None:
+        return df, None
+    hot = hot_groups(counted, keys, scale)
+    if hot is None:
         return df, None
-    hot = F.broadcast(df.sparkSession.createDataFrame(found, top.schema))
+    hot = F.broadcast(hot.withColumnsRenamed({k: "_hot_" + k for k in keys}))
     match = same_keys(keys, "_hot_")
     return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
 
@@ -57,14 +75,26 @@ def per_group(
     plain: Callable[[DataFrame], DataFrame],
     blocked: Callable[[DataFrame], DataFrame],
     scale: Scale = SCALE,
+    coarse: list[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Apply the plain form to ordinary groups and the blocked form to oversized ones."""
-    ordinary, hot = split_hot(df, keys, scale)
+    ordinary, hot = split_hot(df, keys, scale, coarse, counted)
     if hot is None:
         return plain(df)
     return plain(ordinary).unionByName(blocked(hot))
 
 
+def per_stint(
+    df: DataFrame,
+    plain: Callable[[DataFrame], DataFrame],
+    blocked: Callable[[DataFrame], DataFrame],
+    scale: Scale = SCALE,
+) -> DataFrame:
+    """per_group on stints; a stint is part of one driver's race, which is counted first."""
+    return per_group(df, STINT_KEYS, plain, blocked, scale, coarse=LIVE_KEYS)
+
+
 def ranked(
     df: DataFrame, keys: list[str], order: list[str], name: str, scale: Scale = SCALE
 ) -> DataFrame:

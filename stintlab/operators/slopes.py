@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stintlab.config import SCALE, Scale
 from stintlab.operators.joins import all_of
-from stintlab.operators.ordered import Frames, blocked_framed, framed, per_group
+from stintlab.operators.ordered import Frames, blocked_framed, framed, per_stint
 from stintlab.schemas import LAP_ORDER, STINT_KEYS
 
 
@@ -51,4 +51,4 @@ def add_degradation_slopes(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
 
     Null on unclean laps, until enough clean laps are there, and where a stint key is unknown.
     """
-    return per_group(df, STINT_KEYS, slopes_plain, lambda hot: slopes_blocked(hot, scale), scale)
+    return per_stint(df, slopes_plain, lambda hot: slopes_blocked(hot, scale), scale)

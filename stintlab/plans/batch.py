@@ -13,9 +13,9 @@ from stintlab.operators import forest as M
 from stintlab.operators import laps as L
 from stintlab.operators import slopes as S
 from stintlab.operators.joins import lookup
-from stintlab.operators.ordered import per_group
+from stintlab.operators.ordered import per_stint
 from stintlab.operators.risk import add_risk_score
-from stintlab.schemas import FIELD_KEYS, STINT_KEYS
+from stintlab.schemas import FIELD_KEYS
 from stintlab.sources.laps import resolve_laps
 from stintlab.sources.replay import race_is
 from stintlab.sources.tables import write_table
@@ -26,9 +26,8 @@ log = logging.getLogger("stintlab")
 def stint_table(laps: DataFrame, rules: Rules = RULES, scale: Scale = SCALE) -> DataFrame:
     """All row-local and stint-window columns, slopes included, behind one stint shuffle."""
     flagged = L.add_tyre_age_bucket(L.add_clean_lap(laps, rules), rules)
-    return per_group(
+    return per_stint(
         flagged,
-        STINT_KEYS,
         lambda part: S.slopes_plain(L.stint_windows_plain(part)),
         lambda part: S.slopes_blocked(L.stint_windows_blocked(part, scale), scale),
         scale,

@@ -91,7 +91,7 @@ def weather_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def counted(spark: SparkSession, d: str) -> DataFrame:
-    return live.add_consecutive_high(weather_events(spark, d))
+    return live.add_consecutive_high(weather_events(spark, d), counted=laps(spark, d))
 
 
 # --- ingestion ------------------------------------------------------------------------------
@@ -483,13 +483,13 @@ def replay_groups(spark, d):
 
 @query
 def consecutive_high(spark, d):
-    return live.add_consecutive_high(events(spark, d)).select(
+    return live.add_consecutive_high(events(spark, d), counted=laps(spark, d)).select(
         *LAP_KEY, "risk_status", "clean_lap", "consecutive_high"
     )
 
 
 def _alerts(spark, d) -> DataFrame:
-    return live.alerts(live.add_consecutive_high(events(spark, d)))
+    return live.alerts(live.add_consecutive_high(events(spark, d), counted=laps(spark, d)))
 
 
 @query
