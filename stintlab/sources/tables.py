@@ -24,6 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def staged_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -31,11 +35,17 @@ def stage(df: DataFrame) -> DataFrame:
     its footers. Values that are not a function of the input, such as row ids, are fixed by it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{uuid.uuid4().hex}"
+    path = f"{staged_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Remove what stage wrote in this application, once no result of it is needed any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(staged_dir(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def source_bytes(df: DataFrame) -> int:
     """Total size of what a plan reads, after pruning, as Spark knows it; no job is run.
 
