@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from stintlab.operators.weather import attach_weather, project_weather, without_weather
 
 MEASURES = (
