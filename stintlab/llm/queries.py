@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm import mixing, topk
+from stintlab.llm import mixing, token_counts, token_output, topk
 from stintlab.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,11 +15,27 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@query
+def op3_token_output(spark: SparkSession, d: str) -> DataFrame:
+    return token_output.token_digest(read(spark, d, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, d, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 @query
 def op7_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     mixed = mixing.mix(read(spark, d, "documents"))
