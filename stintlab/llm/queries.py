@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm import mixing, token_counts, token_output, topk
-from stintlab.llm.common import read
+from stintlab.llm import langid, mixing, quality, token_counts, token_output, topk
+from stintlab.llm.common import crc_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +54,22 @@ def op8_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLES["op8_exact_top_k"] = topk.SQL
+
+
+@query
+def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents")
+    fold = crc_fold(F.col("doc_id"), 4)
+    model = langid.train_languages(docs, fold != 2)
+    held = docs.select("doc_id", "text")
+    return langid.predict_languages(held, model).select(
+        "doc_id", (fold == 2).alias("held_out"), "lang_pred", "score", "n_spans"
+    )
+
+
+@query
+def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    fold = crc_fold(F.col("doc_id"), 5)
+    docs, labels = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "labels")
+    model = quality.train_quality(docs.filter(fold != 0), labels.filter(fold != 0))
+    return quality.score_quality(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
