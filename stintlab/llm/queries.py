@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm import langid, mixing, quality, token_counts, token_output, topk
+from stintlab.llm import decontaminate, langid, mixing, quality, token_counts, token_output, topk
 from stintlab.llm.common import crc_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,9 @@ def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "labels")
     model = quality.train_quality(docs.filter(fold != 0), labels.filter(fold != 0))
     return quality.score_quality(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    indexes = decontaminate.leak_indexes(read(spark, d, "benchmark"))
+    return decontaminate.find_leaks(read(spark, d, "documents"), indexes)
