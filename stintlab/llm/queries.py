@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm import decontaminate, langid, mixing, quality, token_counts, token_output, topk
+from stintlab.llm import decontaminate, langid, mixing, quality, substring_dedup, token_counts, token_output, topk
 from stintlab.llm.common import crc_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,8 @@ def op5_quality(spark: SparkSession, d: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     indexes = decontaminate.leak_indexes(read(spark, d, "benchmark"))
     return decontaminate.find_leaks(read(spark, d, "documents"), indexes)
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.remove_repeated(read(spark, d, "documents"))
