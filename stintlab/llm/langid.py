@@ -278,8 +278,11 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
     """Rows of docs whose language is known and holds at least `least` of their letters, as they are.
 
-    Needs text; a null text or one without letters goes, other columns may have any names.
+    Needs text; a null text or one without letters goes, other columns may have any names. A model
+    that knows no language rejects nothing.
     """
+    if not model.languages:
+        return docs
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)

@@ -173,17 +173,18 @@ def repeat_taken(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     taken = (
         mix(docs, rules).groupBy("key").agg(F.sum("copies").alias("all_copies"), F.count("*").alias("alike"))
     )
-    keyed = docs.withColumn("_key", row_key("doc_id", "source", "text"))
+    # Rows are carried as one value, so that their columns may have any names.
+    rows = docs.select(F.struct("*").alias("_row"), row_key("doc_id", "source", "text").alias("_key"))
+    taken = taken.filter("all_copies > 0").withColumnRenamed("key", "_key")
     # Equal rows split their copies between them.
     nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     own = F.floor(F.col("all_copies") / F.col("alike")) + F.when(
         nth <= F.col("all_copies") % F.col("alike"), 1
     ).otherwise(0)
     return (
-        keyed.join(taken.filter("all_copies > 0"), keyed["_key"] == taken["key"])
-        .withColumn("_own", own).filter("_own > 0")
+        rows.join(taken, "_key").withColumn("_own", own).filter("_own > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_own").cast("int"))))
-        .select(*[docs[c] for c in docs.columns])
+        .select("_row.*")
     )
 
 

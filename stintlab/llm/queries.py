@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm import decontaminate, langid, mixing, pii, quality, substring_dedup, token_counts, token_output, topk
+from stintlab.llm import decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup, token_counts, token_output, topk
 from stintlab.llm.common import crc_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op1_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(read(spark, d, "documents")))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join.similarity_classes(read(spark, d, "documents")).drop("n_links")
