@@ -60,8 +60,9 @@ def source_targets(sizes: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     levels = weighed.withColumn(
         "level", (budget - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(onward)
     )
-    reached = F.when(F.col("ratio") >= F.col("level"), F.struct("ratio", "level"))
-    level = F.min(reached).over(everything)["level"]
+    # Of equal caps per weight the first counts, whose level is the highest.
+    reached = F.when(F.col("ratio") >= F.col("level"), F.struct("ratio", (-F.col("level")).alias("under")))
+    level = -F.min(reached).over(everything)["under"]
     return levels.withColumn("at", level).select(
         "source", "source_size", "n",
         F.when(F.col("at").isNull(), F.col("cap"))
@@ -206,7 +207,7 @@ WITH base AS (
          / sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighed
 ), fixed AS (
-  SELECT level AS at_level FROM levels WHERE ratio >= level ORDER BY ratio, level LIMIT 1
+  SELECT level AS at_level FROM levels WHERE ratio >= level ORDER BY ratio, level DESC LIMIT 1
 ), targets AS (
   SELECT source, source_size, coalesce(least(cap, weight * (SELECT at_level FROM fixed)), cap) AS target FROM levels
 ), queued AS (
