@@ -265,10 +265,13 @@ def sql(select: str, *needs: str, **extra: str) -> str:
 
 
 def r6(expr: str, name: str | None = None, digits: int = 6) -> str:
-    """Round as the Spark side does: reports in decimal after dropping noise, all else by floor."""
+    """Reports round the number as written, half up; all else is compared to 6 digits, as the catalog shows it."""
     if digits == 6:
         return f"floor(cast({expr} AS double) * 1e6 + 0.5001e0) / 1e6 AS {name or expr}"
-    return f"cast(round(cast({expr} AS decimal(38, 9)), {digits}) AS double) AS {name or expr}"
+    return f"cast(round(cast(cast({expr} AS varchar) AS decimal(38, 15)), {digits}) AS double) AS {name or expr}"
+
+
+_MEAN_TIME = "cast(sum(cast(lap_time_sec AS decimal(18, 6))) AS double) / count(lap_time_sec)"
 
 
 def r6s(names: str, prefix: str = "") -> str:
@@ -587,13 +590,13 @@ ORACLES: dict[str, str] = {
     ),
     "driver_pace": sql(
         "SELECT year, race_name, driver_code, count(*) AS clean_laps, "
-        + r6("avg(lap_time_sec)", "avg_lap_time", 3) + ", " + r6("avg(pace_delta)", "avg_pace_delta", 3)
+        + r6(_MEAN_TIME, "avg_lap_time", 3) + ", " + r6("avg(pace_delta)", "avg_pace_delta", 3)
         + " FROM windowed WHERE clean_lap GROUP BY year, race_name, driver_code",
         "windowed",
     ),
     "compound_temp": sql(
         "SELECT compound, cast(floor(track_temp_c / 5) * 5 AS int) AS track_temp_bucket, count(*) AS n, "
-        + r6("avg(lap_time_sec)", "avg_lap_time", 3) + ", " + r6("avg(pace_delta)", "avg_pace_delta", 3)
+        + r6(_MEAN_TIME, "avg_lap_time", 3) + ", " + r6("avg(pace_delta)", "avg_pace_delta", 3)
         + " FROM windowed WHERE clean_lap AND track_temp_c IS NOT NULL GROUP BY ALL",
         "windowed",
     ),
@@ -608,7 +611,7 @@ ORACLES: dict[str, str] = {
         "SELECT compound, risk_status, count(*) AS n FROM risk GROUP BY compound, risk_status", "risk"
     ),
     "wet_dry": sql(
-        "SELECT compound, rainfall, count(*) AS n, " + r6("avg(lap_time_sec)", "avg_lap_time", 3)
+        "SELECT compound, rainfall, count(*) AS n, " + r6(_MEAN_TIME, "avg_lap_time", 3)
         + " FROM flagged WHERE clean_lap GROUP BY compound, rainfall",
         "flagged",
     ),

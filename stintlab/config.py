@@ -18,8 +18,10 @@ class Rules:
     weight_pace: float = 0.4
     weight_slope: float = 0.4
     weight_field: float = 0.2
-    medium_risk: float = 0.40
-    high_risk: float = 0.70
+    # Levels from the highest down, each from its score on.
+    risk_levels: tuple[tuple[str, float], ...] = (("HIGH", 0.70), ("MEDIUM", 0.40))
+    lowest_level: str = "LOW"
+    too_short: str = "INSUFFICIENT_DATA"
     min_clean_laps: int = 3
 
     alert_run_length: int = 2
@@ -36,24 +38,17 @@ class Rules:
 
 @dataclass(frozen=True)
 class Scale:
-    """When an operator leaves the plain plan. Sizes, not meanings: results never depend on them."""
+    """When an operator leaves the plain plan. Results never depend on these sizes."""
 
     # Inputs whose scan is smaller than this cannot hold a group worth splitting.
     small_bytes: int = 64 << 20
     # A window group with more rows than this is cut into blocks.
     hot_rows: int = 2_000_000
-    # The largest groups looked at one by one; any other holds under 1/max_hot of all rows.
-    max_hot: int = 4096
     # Rows per block of a cut group.
     block_rows: int = 500_000
-    # A lookup table is broadcast only below both of these, counted on the written table.
+    # A lookup table is broadcast only below both of these, measured on its written values.
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 << 20
-    # A lookup table made from less input than this is broadcast without being written first.
-    auto_join_bytes: int = 8 << 20
-    # Rows kept before tree sampling, and the row count up to which a quantile is exact.
-    forest_pool: int = 1_000_000
-    exact_quantile_rows: int = 1_000_000
 
 
 RULES = Rules()

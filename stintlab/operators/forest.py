@@ -2,10 +2,15 @@
 
 Spark draws the sample of every tree, one small group per tree grows it, and the forest is a
 table of nodes. Scoring sends only the feature columns through Arrow.
+
+Every random choice is the md5 of a text that names it (seed, tree, and lap or node), so a forest
+depends on the rows alone, not on their order, their partitioning or any size limit, and any engine
+with md5 can grow the same one.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import math
 from collections.abc import Iterator
@@ -17,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stintlab.config import RULES, SCALE, Rules, Scale
-from stintlab.operators.reports import quantiles
-from stintlab.schemas import ANOMALY_FEATURES, require
+from stintlab.operators.quantiles import exact_quantiles
+from stintlab.schemas import ANOMALY_FEATURES, LAP_ORDER, STINT_KEYS, require
 from stintlab.sources.shipping import ship_package
 from stintlab.sources.tables import path_exists, stage, write_table
 
@@ -30,6 +35,8 @@ NODE_DDL = "tree int, node int, feature int, split double, path double"
 
 # How many rows are drawn per tree before its sample is cut to size.
 _DRAW_MARGIN = 1.5
+# Hexadecimal digits of an md5 that make a number, and how many numbers there are.
+_DIGITS, _NUMBERS = 13, float(1 << 52)
 
 
 def mean_path(rows: float) -> float:
@@ -82,35 +89,38 @@ def training_frame(features: DataFrame, columns: list[str] = ANOMALY_FEATURES) -
 
 
 def _uniform(*parts: Column) -> Column:
-    """A number in [0, 1) that depends on the values only."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+    """A number in [0, 1) from the md5 of the parts as text."""
+    text = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
+    return F.conv(F.substring(text, 1, _DIGITS), 16, 10).cast("double") / F.lit(_NUMBERS)
+
+
+def _uniform_of(*parts: object) -> float:
+    text = hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()
+    return int(text[:_DIGITS], 16) / _NUMBERS
 
 
 def draw_samples(
-    training: DataFrame, columns: list[str], rows: int, size: int, rules: Rules, scale: Scale
+    training: DataFrame, columns: list[str], keys: list[str], rows: int, size: int, rules: Rules
 ) -> DataFrame:
-    """(tree, arrival, copies, features): what each tree may sample from, size vectors at most.
+    """(tree, key, chance, features): the sample of each tree, the size rows with least chance.
 
-    Large inputs are first thinned row by row to a pool. Equal rows then become one row with a
-    count. A row of a tree's sample is one with an early exponential arrival time; the earliest
-    of m copies arrives at rate m, so copies weigh in full without being spelt out. Arrival
-    times hash the values, so the draw does not depend on partitioning.
+    Whether a row may be in a tree is a matter of its key and the number of rows only. A first
+    number leaves out, before rows meet trees, those that will be in none: with n rows some
+    trees * size of them are kept whatever n is.
     """
-    pool = training.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if rows > scale.forest_pool:
-        pool = stage(pool.sample(scale.forest_pool / rows, seed=rules.forest_seed))
-        rows = pool.count()
-    counted = pool.groupBy(*columns).agg(F.count("*").alias("copies"))
-    share = _DRAW_MARGIN * size / rows
-    latest = -math.log1p(-share) if share < 1 else math.inf
+    share = min(1.0, _DRAW_MARGIN * size / rows)
+    any_tree = min(1.0, share * rules.trees)
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    seed = F.lit(rules.forest_seed)
+    narrow = training.select(key.alias("key"), *[F.col(c).cast("double").alias(c) for c in columns])
+    kept = narrow.filter(_uniform(seed, F.lit("row"), F.col("key")) < any_tree)
     trees = F.explode(F.sequence(F.lit(0), F.lit(rules.trees - 1)))
-    chance = _uniform(F.lit(rules.forest_seed), F.col("tree"), *[F.col(c) for c in columns])
     drawn = (
-        counted.withColumn("tree", trees)
-        .withColumn("arrival", -F.log1p(-chance) / F.col("copies"))
-        .filter(F.col("arrival") <= latest)
+        kept.withColumn("tree", trees)
+        .withColumn("chance", _uniform(seed, F.col("tree"), F.col("key")))
+        .filter(F.col("chance") < share / any_tree)
     )
-    first = Window.partitionBy("tree").orderBy("arrival", *columns)
+    first = Window.partitionBy("tree").orderBy("chance", "key", *columns)
     return (
         drawn.withColumn("_place", F.row_number().over(first))
         .filter(F.col("_place") <= size)
@@ -118,23 +128,10 @@ def draw_samples(
     )
 
 
-def _sample_rows(group: pd.DataFrame, columns: list[str], size: int, rng) -> np.ndarray:
-    """The size earliest rows of a tree, later copies of a vector included."""
-    group = group.sort_values(["arrival", *columns], kind="stable")
-    values = group[columns].to_numpy(dtype=np.float64)
-    arrival, copies = group["arrival"].to_numpy(), group["copies"].to_numpy()
-    owner, times = [np.arange(len(group))], [arrival]
-    for i in np.flatnonzero(copies > 1):
-        more = int(min(copies[i], size)) - 1
-        waits = rng.exponential(size=more) / (copies[i] - np.arange(1, more + 1))
-        owner.append(np.full(more, i))
-        times.append(arrival[i] + np.cumsum(waits))
-    owner, times = np.concatenate(owner), np.concatenate(times)
-    return values[owner[np.argsort(times, kind="stable")[:size]]]
-
-
-def _grow(rows: np.ndarray, depth_limit: int, rng) -> Iterator[tuple[int, int, float, float]]:
-    """Nodes of one tree: random feature among those that vary, random split in its range."""
+def _grow(
+    rows: np.ndarray, depth_limit: int, seed: int, tree: int
+) -> Iterator[tuple[int, int, float, float]]:
+    """Nodes of one tree: a feature among those that vary and a split in its range, by md5."""
     waiting = [(0, 0, rows)]
     while waiting:
         node, depth, part = waiting.pop()
@@ -143,45 +140,55 @@ def _grow(rows: np.ndarray, depth_limit: int, rng) -> Iterator[tuple[int, int, f
         if depth >= depth_limit or len(varying) == 0:
             yield node, -1, 0.0, depth + mean_path(len(part))
             continue
-        feature = int(rng.choice(varying))
-        split = float(rng.uniform(low[feature], high[feature]))
-        # The draw may return the lower end, which would leave one side empty.
-        split = max(split, float(np.nextafter(low[feature], high[feature])))
+        pick = _uniform_of(seed, tree, node, "feature")
+        feature = int(varying[int(pick * len(varying))])
+        span = float(high[feature]) - float(low[feature])
+        split = float(low[feature]) + _uniform_of(seed, tree, node, "split") * span
+        # A split at the lower end would leave one side empty.
+        if not split > low[feature]:
+            split = float(high[feature])
         left = part[:, feature] < split
         yield node, feature, split, 0.0
         waiting.append((2 * node + 1, depth + 1, part[left]))
         waiting.append((2 * node + 2, depth + 1, part[~left]))
 
 
+class TooFewRows(ValueError):
+    """There is not enough to train on."""
+
+
 def fit_forest(
     training: DataFrame,
     columns: list[str] = ANOMALY_FEATURES,
     rules: Rules = RULES,
     scale: Scale = SCALE,
+    keys: list[str] | None = None,
 ) -> Forest:
+    """Fit on training rows; keys name a row, by default as laps are named."""
+    keys = keys or [*STINT_KEYS, *LAP_ORDER]
     ship_package(training.sparkSession)
     rows = training.count()
     if rows < rules.min_training_rows:
-        raise ValueError(f"{rows} training rows, need {rules.min_training_rows}")
+        raise TooFewRows(f"{rows} training rows, need {rules.min_training_rows}")
     size = min(rules.tree_sample, rows)
     depth_limit = math.ceil(math.log2(max(size, 2)))
     seed = rules.forest_seed
 
     def grow(key, group):
         tree = int(key[0])
-        rng = np.random.default_rng([seed, tree])
-        sample = _sample_rows(group, columns, size, rng)
+        # The sample is in a fixed order, though no node depends on it.
+        sample = group.sort_values(["chance", "key"])[columns].to_numpy(dtype=np.float64)
         nodes = pd.DataFrame(
-            list(_grow(sample, depth_limit, rng)), columns=["node", "feature", "split", "path"]
+            list(_grow(sample, depth_limit, seed, tree)), columns=["node", "feature", "split", "path"]
         )
         nodes.insert(0, "tree", tree)
         return nodes
 
-    drawn = draw_samples(training, columns, rows, size, rules, scale)
+    drawn = draw_samples(training, columns, keys, rows, size, rules)
     nodes = stage(drawn.groupBy("tree").applyInPandas(grow, NODE_DDL))
     draft = Forest(nodes, list(columns), size, rules.trees, rules.contamination, rows, math.nan)
     scores = training.select(raw_score(draft).alias("score"))
-    cut = scores.agg(quantiles("score", [rules.contamination], rows, scale)[0]).first()[0]
+    (cut,) = exact_quantiles(scores, "score", [rules.contamination], scale)
     return Forest(nodes, list(columns), size, rules.trees, rules.contamination, rows, float(cut))
 
 
@@ -218,7 +225,8 @@ class _Walker:
             for _ in range(self.depth):
                 at = 2 * at + 1 + (rows[every, feature[at]] >= split[at])
             total += path[at - (len(path) - 1)]
-        return -np.exp2(-total / len(self.path) / self.norm)
+        # Sums in another order differ in the last digits; equal ones have to stay equal.
+        return -np.exp2(-np.round(total, 9) / len(self.path) / self.norm)
 
 
 def raw_score(forest: Forest) -> Column:

@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from stintlab.config import SCALE, Scale
-from stintlab.sources.tables import source_bytes, stage
+from stintlab.sources.tables import stage
 
 
 def all_of(conditions: list[Column]) -> Column:
@@ -16,20 +17,29 @@ def all_of(conditions: list[Column]) -> Column:
 
 
 def sized(table: DataFrame, scale: Scale = SCALE) -> DataFrame:
-    """Mark a lookup table for broadcast if it is known to be small enough.
+    """Write a lookup table and mark it for broadcast if it was measured to be small.
 
-    A table made from less input than auto_join_bytes cannot outgrow it. Any other is written
-    once, and its files are measured and its rows counted from the footers. Past the limits it is
-    returned unmarked: the join shuffles, and AQE splits skewed partitions of the other side.
+    Rows and the bytes of their values are counted on the written table itself, not its compressed
+    files. Past the limits it is returned unmarked: the join shuffles, and AQE splits skewed
+    partitions of the other side.
     """
-    if source_bytes(table) <= scale.auto_join_bytes:
-        return F.broadcast(table)
     table = stage(table)
-    if source_bytes(table) <= scale.broadcast_bytes and table.count() <= scale.broadcast_rows:
+    texts = [f.name for f in table.schema if f.dataType.typeName() in ("string", "binary")]
+    lengths = F.lit(0)
+    for name in texts:
+        lengths = lengths + F.coalesce(F.octet_length(name), F.lit(0))
+    rows, text_bytes = table.agg(F.count("*"), F.coalesce(F.sum(lengths), F.lit(0))).first()
+    # Numbers take eight bytes at most; structs are counted by their leaves.
+    width = 16 + 8 * sum(_leaves(f.dataType) for f in table.schema)
+    if rows <= scale.broadcast_rows and text_bytes + rows * width <= scale.broadcast_bytes:
         return F.broadcast(table)
     return table
 
 
+def _leaves(kind: DataType) -> int:
+    return sum(_leaves(f.dataType) for f in kind) if isinstance(kind, StructType) else 1
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintlab.config import SCALE, Scale
-from stintlab.operators.joins import all_of
+from stintlab.operators.joins import all_of, sized
 from stintlab.schemas import LIVE_KEYS, STINT_KEYS
 from stintlab.sources.tables import source_bytes, stage
 
@@ -27,23 +27,15 @@ def same_keys(keys: list[str], prefix: str) -> Column:
 
 
 def hot_groups(df: DataFrame, keys: list[str], scale: Scale = SCALE) -> DataFrame | None:
-    """Keys of the oversized groups, largest first, or None if there are none.
+    """Keys of all oversized groups as a written table, or None if there are none.
 
-    At most max_hot rows, so the list is safe to collect and to broadcast. A group left off a
-    full list is smaller than all on it, and thus under 1/max_hot of the rows.
+    There are at most rows / hot_rows of them, and none is left off.
     """
     if source_bytes(df.select(*keys)) <= scale.small_bytes:
         return None
-    top = (
-        df.groupBy(*keys)
-        .count()
-        .filter(F.col("count") > scale.hot_rows)
-        .orderBy(F.desc("count"), *keys)
-        .limit(scale.max_hot)
-        .select(*keys)
-    )
-    found = top.collect()
-    return df.sparkSession.createDataFrame(found, top.schema) if found else None
+    counted = df.groupBy(*keys).count().filter(F.col("count") > scale.hot_rows).select(*keys)
+    found = stage(counted)
+    return None if found.isEmpty() else found
 
 
 def split_hot(
@@ -64,7 +56,7 @@ def split_hot(
     hot = hot_groups(counted, keys, scale)
     if hot is None:
         return df, None
-    hot = F.broadcast(hot.withColumnsRenamed({k: "_hot_" + k for k in keys}))
+    hot = sized(hot, scale).withColumnsRenamed({k: "_hot_" + k for k in keys})
     match = same_keys(keys, "_hot_")
     return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlab.config import RULES, SCALE, Rules, Scale
-from stintlab.functions.columns import tidy
+from stintlab.operators.quantiles import exact_quantiles
+from stintlab.sources.tables import stage
 
 
 def _clean(df: DataFrame) -> DataFrame:
@@ -14,7 +15,13 @@ def _clean(df: DataFrame) -> DataFrame:
 
 
 def _mean(name: str, digits: int = 3) -> Column:
-    return tidy(F.avg(name), digits)
+    return F.round(F.avg(name), digits)
+
+
+def _mean_time(name: str, digits: int = 3) -> Column:
+    """Mean of times, which are whole microseconds: the sum is exact, so its order is no matter."""
+    exact = F.sum(F.col(name).cast("decimal(18,6)")).cast("double")
+    return F.round(exact / F.count(name), digits)
 
 
 def lap_quality(features: DataFrame) -> DataFrame:
@@ -97,31 +104,18 @@ def slope_sample(events: DataFrame, rows: int = 10) -> DataFrame:
     )
 
 
-def quantiles(name: str, points: list[float], rows: int, scale: Scale = SCALE) -> Column:
-    """Quantile array of a column that has at most `rows` values.
-
-    The interpolated form keeps every distinct value in one buffer, so it needs a small count.
-    Past the limit a sketch of fixed size is used, whose rank error is one millionth.
-    """
-    if rows <= scale.exact_quantile_rows:
-        return F.percentile(name, F.array(*[F.lit(p) for p in points]))
-    return F.percentile_approx(name, points, 1_000_000)
-
-
 def anomaly_report(scored: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Scored rows, anomalies, rate and score percentiles in one row."""
     points = {"p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
-    # Counting needs no score, so it does not run the model.
-    rows = scored.select("anomaly_score", "is_anomaly").count()
-    out = scored.filter(F.col("anomaly_score").isNotNull()).agg(
-        F.count("*").alias("scored"),
-        F.count_if(F.col("is_anomaly")).alias("anomalies"),
-        quantiles("anomaly_score", list(points.values()), rows, scale).alias("_q"),
-    )
+    known = scored.filter(F.col("anomaly_score").isNotNull()).select("anomaly_score", "is_anomaly")
+    # Scores are read twice, so the model runs once and its scores are kept.
+    known = stage(known)
+    out = known.agg(F.count("*").alias("scored"), F.count_if(F.col("is_anomaly")).alias("anomalies"))
     rate = 100.0 * F.col("anomalies") / F.greatest(F.col("scored"), F.lit(1))
+    found = exact_quantiles(known, "anomaly_score", list(points.values()), scale)
     return out.select(
         "scored", "anomalies", rate.alias("rate_pct"),
-        *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(points)],
+        *[F.lit(v).cast("double").alias(n) for n, v in zip(points, found)],
     )
 
 
@@ -170,7 +164,7 @@ def driver_pace(features: DataFrame) -> DataFrame:
         .groupBy("year", "race_name", "driver_code")
         .agg(
             F.count("*").alias("clean_laps"),
-            _mean("lap_time_sec").alias("avg_lap_time"),
+            _mean_time("lap_time_sec").alias("avg_lap_time"),
             _mean("pace_delta").alias("avg_pace_delta"),
         )
         .orderBy("year", "race_name", "avg_lap_time", "driver_code")
@@ -186,7 +180,7 @@ def compound_temp(features: DataFrame) -> DataFrame:
         .groupBy("compound", bucket.alias("track_temp_bucket"))
         .agg(
             F.count("*").alias("n"),
-            _mean("lap_time_sec").alias("avg_lap_time"),
+            _mean_time("lap_time_sec").alias("avg_lap_time"),
             _mean("pace_delta").alias("avg_pace_delta"),
         )
         .orderBy("compound", "track_temp_bucket")
@@ -201,9 +195,9 @@ def top_anomalies(events: DataFrame, rows: int = 25) -> DataFrame:
         .limit(rows)
         .select(
             "year", "race_name", "driver_code", "lap_number", "compound", "tyre_life",
-            tidy(F.col("risk_score"), 3).alias("risk_score"),
+            F.round("risk_score", 3).alias("risk_score"),
             "risk_status",
-            tidy(F.col("anomaly_score"), 4).alias("anomaly_score"),
+            F.round("anomaly_score", 4).alias("anomaly_score"),
         )
     )
 
@@ -238,7 +232,7 @@ def wet_dry(features: DataFrame) -> DataFrame:
     return (
         _clean(features)
         .groupBy("compound", "rainfall")
-        .agg(F.count("*").alias("n"), _mean("lap_time_sec").alias("avg_lap_time"))
+        .agg(F.count("*").alias("n"), _mean_time("lap_time_sec").alias("avg_lap_time"))
         .orderBy("compound", "rainfall")
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlab.config import RULES, Rules
@@ -34,10 +34,14 @@ def add_risk_score(
     out = df.withColumns(components)
     weighted = sum(F.lit(weight) * F.col(name) for name, (_, _, weight) in inputs.items())
     out = out.withColumn("risk_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), weighted)))
-    return out.withColumn(
-        "risk_status",
-        F.when(F.col("clean_laps_in_stint_so_far") < rules.min_clean_laps, "INSUFFICIENT_DATA")
-        .when(F.col("risk_score") >= rules.high_risk, "HIGH")
-        .when(F.col("risk_score") >= rules.medium_risk, "MEDIUM")
-        .otherwise("LOW"),
+    return out.withColumn("risk_status", status_of(F.col("risk_score"), rules))
+
+
+def status_of(score: Column, rules: Rules = RULES) -> Column:
+    """Name of the highest level the score reaches; stints too short for one are set apart."""
+    level = F.coalesce(
+        *[F.when(score >= least, F.lit(name)) for name, least in rules.risk_levels],
+        F.lit(rules.lowest_level),
     )
+    short = F.coalesce(F.col("clean_laps_in_stint_so_far") < rules.min_clean_laps, F.lit(False))
+    return F.when(short, F.lit(rules.too_short)).otherwise(level)

@@ -42,7 +42,7 @@ def without_weather(laps: DataFrame) -> DataFrame:
 
 
 def bucket_width(samples: DataFrame, scale: Scale) -> float:
-    """Bucket width, narrowed for large weather tables until even the densest bucket is small."""
+    """Bucket width, narrowed for large tables until the bucket with most instants is small."""
     if source_bytes(samples) <= scale.small_bytes:
         return _BUCKET_SECONDS
     bucket = F.floor(F.col("t_sec") / _BUCKET_SECONDS)
@@ -106,7 +106,7 @@ def attach_weather(laps: DataFrame, weather: DataFrame, scale: Scale = SCALE) ->
         .groupBy(*SESSION, "t_sec")
         .agg(F.max(F.struct(*MEASURES)).alias("measures"))
     )
-    width = bucket_width(weather.select(*SESSION, "t_sec"), scale)
+    width = bucket_width(samples.select(*SESSION, "t_sec"), scale)
     spans = sized(weather_spans(laps, samples, width), scale).select(
         *[F.col(k).alias("_w_" + k) for k in SESSION],
         F.col("bucket").alias("_w_bucket"),

@@ -304,16 +304,10 @@ def field_statistics(spark, d):
 @query
 def baseline_rollups(spark, d):
     base, _ = B.lap_statistics(sloped(spark, d))
-    tiers = {
-        "race_compound": (B.race_compound_rollup(base), "_rc"),
-        "compound_age": (B.compound_age_rollup(base), "_ca"),
-        "global": (B.global_rollup(base), "_g"),
-    }
     out = None
-    for tier, (rollup, suffix) in tiers.items():
-        named = rollup.withColumnsRenamed(
-            {c: c.removesuffix(suffix) for c in rollup.columns}
-        ).withColumn("tier", F.lit(tier))
+    for tier, keys in zip(("race_compound", "compound_age", "global"), B.TIERS[1:]):
+        named = B.rollup(base, keys).withColumn("tier", F.lit(tier))
+        named = named if keys else named.drop("sample_count")
         out = named if out is None else out.unionByName(named, allowMissingColumns=True)
     return out.select("tier", *BASELINE_KEYS, *B.CHOSEN, "sample_count")
 

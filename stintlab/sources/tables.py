@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir.
 
-    Only a local session without that setting gets a folder of its own.
+    Without that setting it is a folder of the warehouse, which the executors share too.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="stintlab-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def staged_dir(spark: SparkSession) -> str:

@@ -32,8 +32,7 @@ def data():
 def tight():
     """Limits so low that every large-scale path is taken on small data."""
     return Scale(
-        small_bytes=0, hot_rows=20, max_hot=3, block_rows=7,
-        broadcast_rows=2, broadcast_bytes=64 << 20, auto_join_bytes=0, forest_pool=200,
+        small_bytes=0, hot_rows=20, block_rows=7, broadcast_rows=2, broadcast_bytes=64 << 20,
     )
 
 

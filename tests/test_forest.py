@@ -25,7 +25,7 @@ def train(spark):
 
 @pytest.fixture(scope="module")
 def forest(train):
-    return M.fit_forest(train, rules=FAST)
+    return M.fit_forest(train, rules=FAST, keys=["id"])
 
 
 def test_description(forest):
@@ -54,8 +54,14 @@ def test_outliers_score_lowest(train, forest):
 
 
 def test_same_forest_for_any_partitioning(spark, train, forest):
-    again = M.fit_forest(train.repartition(3, "humidity"), rules=FAST)
-    assert again.offset == pytest.approx(forest.offset, abs=1e-12)
+    again = M.fit_forest(train.repartition(3, "humidity"), rules=FAST, keys=["id"])
+    assert again.offset == forest.offset
+    assert again.nodes.exceptAll(forest.nodes).isEmpty()
+
+
+def test_same_forest_under_any_limits(spark, train, forest, tight):
+    again = M.fit_forest(train, rules=FAST, scale=tight, keys=["id"])
+    assert again.offset == forest.offset
     assert again.nodes.exceptAll(forest.nodes).isEmpty()
 
 
@@ -84,28 +90,28 @@ def test_missing_column_or_model(spark, train, forest):
     with pytest.raises(ValueError):
         M.training_frame(train.drop("humidity"))
     with pytest.raises(ValueError):
-        M.fit_forest(train.limit(49), rules=FAST)
-
-
-def test_large_input_is_thinned_and_quantile_sketched(spark, train):
-    low = Scale(forest_pool=600, exact_quantile_rows=100)
-    forest = M.fit_forest(train, rules=FAST, scale=low)
-    rate = M.score_events(train, forest).agg(F.avg(F.col("is_anomaly").cast("int"))).first()[0]
-    assert rate == pytest.approx(forest.contamination, abs=0.005)
+        M.fit_forest(train.limit(49), rules=FAST, keys=["id"])
 
 
-def test_copies_weigh_in_full(spark):
-    """A vector that is a third of all rows is a third of what the trees sample."""
+def test_rows_are_judged_alike_at_any_size(spark):
+    """Each tree gets its full sample whatever the number of rows, and equal rows weigh in full."""
     columns = ["a", "b"]
-    many = spark.range(3000).select(
-        *[F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.rand(i)).alias(c) for i, c in enumerate(columns)]
-    )
-    rules = Rules(trees=30)
-    drawn = M.draw_samples(many, columns, 3000, 256, rules, Scale()).toPandas()
-    assert drawn.groupby("tree").size().max() <= 256
-    share = []
-    for tree, group in drawn.groupby("tree"):
-        sample = M._sample_rows(group, columns, 256, np.random.default_rng([42, tree]))
-        assert len(sample) == 256
-        share.append((sample == 0.0).all(axis=1).mean())
-    assert np.mean(share) == pytest.approx(1 / 3, abs=0.05)
+    for n in (300, 3000, 60_000):
+        many = spark.range(n).select(
+            "id", *[F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.rand(i)).alias(c) for i, c in enumerate(columns)]
+        )
+        drawn = M.draw_samples(many, columns, ["id"], n, 256, Rules(trees=30)).toPandas()
+        assert (drawn.groupby("tree").size() == 256).all() and drawn["tree"].nunique() == 30
+        assert (drawn[columns] == 0.0).all(axis=1).mean() == pytest.approx(1 / 3, abs=0.05)
+
+
+def test_exact_quantiles(spark, tight):
+    from stintlab.operators.quantiles import exact_quantiles
+
+    points = [0.0, 0.05, 0.3, 0.5, 0.999, 1.0]
+    draw = np.random.default_rng(1)
+    for values in (list(range(10)), [1.5], [2.0] * 30 + [1.0], list(np.round(draw.normal(size=200), 1))):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
+        for scale in (Scale(), tight):
+            assert exact_quantiles(df, "x", points, scale) == pytest.approx(list(np.quantile(values, points)))
+    assert exact_quantiles(df.filter("x IS NULL"), "x", [0.5]) == [None]

@@ -115,9 +115,7 @@ def test_whole_batch_plan(spark, data, tight):
     laps = lap_view.laps_of(lap_view.read(spark, data, "events"))
     columns = KEY + ["risk_score", "risk_status", "field_delta", "driver_vs_field_delta"]
     plain = rows(batch.score_laps(laps, scale=PLAIN).events, *columns)
-    low = Scale(
-        small_bytes=0, hot_rows=14, max_hot=5, block_rows=6, broadcast_rows=2, auto_join_bytes=0
-    )
+    low = Scale(small_bytes=0, hot_rows=14, block_rows=6, broadcast_rows=2)
     close(rows(batch.score_laps(laps, scale=low).events, *columns), plain)
 
 

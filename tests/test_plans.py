@@ -58,17 +58,28 @@ def test_only_needed_columns_are_read(spark, data):
 def test_lookup_is_broadcast_by_size_only(spark, stored):
     table = stored.groupBy("driver_code").agg(F.count("*").alias("n"))
     assert "BroadcastHashJoin" in plan(lookup(stored, table, ["driver_code"], scale=SCALE))
-    counted = Scale(auto_join_bytes=0)
-    assert "BroadcastHashJoin" in plan(lookup(stored, table, ["driver_code"], scale=counted))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        beyond = Scale(auto_join_bytes=0, broadcast_rows=3)
+        beyond = Scale(broadcast_rows=3)
         text = plan(lookup(stored, table, ["driver_code"], scale=beyond))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
+def test_wide_rows_that_compress_well_are_not_broadcast(spark, stored):
+    """Few bytes on disk are no measure: 400-byte values count in full."""
+    wide = spark.range(2000).select(
+        F.concat(F.lit("D"), F.col("id")).alias("driver_code"), F.repeat(F.lit("x"), 400).alias("note")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(lookup(stored, wide, ["driver_code"], scale=Scale(broadcast_bytes=400_000)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_staged_tables_live_in_the_shared_folder(spark, stored):
     kept = stage(stored.limit(3))
     assert staged_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
