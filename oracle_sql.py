@@ -188,10 +188,29 @@ def _z(num: str, std: str) -> str:
     return f"greatest(0e0, least(1e0, CASE WHEN {std} > 0 THEN {num} / {std} ELSE 0e0 END))"
 
 
+# The small forest: path length of each tree, written out.
+CTES["paths"] = """
+SELECT *, CASE WHEN pace_delta < 0.5e0 THEN CASE WHEN tyre_life < 12 THEN 3e0 ELSE 2.5e0 END ELSE 1.5e0 END AS t0,
+       CASE WHEN field_delta < 0.5e0 THEN 2e0 WHEN pace_delta < -1 THEN 2.25e0 ELSE 3.5e0 END AS t1,
+       CASE WHEN tyre_life < 20 THEN CASE WHEN pace_delta < 3 THEN 4e0 ELSE 2e0 END ELSE 1e0 END AS t2
+FROM feat
+"""
+_C8 = "(2e0 * (ln(7e0) + 0.5772156649015329e0) - 14e0 / 8e0)"
+CTES["scored"] = f"""
+SELECT year, race_round, driver_code, stint, lap_number,
+       CASE WHEN pace_delta IS NOT NULL AND tyre_life IS NOT NULL AND field_delta IS NOT NULL
+            THEN -pow(2e0, -((t0 + t1 + t2) / 3e0) / {_C8}) END AS score
+FROM paths
+"""
+
 CTES["risk"] = f"""
+SELECT r.*, s.score AS anomaly_score, coalesce(s.score < -0.6e0, false) AS is_anomaly
+FROM rated r LEFT JOIN scored s USING (year, race_round, driver_code, stint, lap_number)
+"""
+
+CTES["rated"] = f"""
 SELECT *, CASE WHEN clean_laps_in_stint_so_far < 3 THEN 'INSUFFICIENT_DATA'
-               WHEN risk_score >= 0.7e0 THEN 'HIGH' WHEN risk_score >= 0.4e0 THEN 'MEDIUM' ELSE 'LOW' END AS risk_status,
-       -(0.4e0 + (event_id % 97) / 200e0) AS anomaly_score, event_id % 20 = 0 AS is_anomaly
+               WHEN risk_score >= 0.7e0 THEN 'HIGH' WHEN risk_score >= 0.4e0 THEN 'MEDIUM' ELSE 'LOW' END AS risk_status
 FROM (
     SELECT *, greatest(0e0, least(1e0, 0.4e0 * pace_component + 0.4e0 * slope_component
                                        + 0.2e0 * field_component)) AS risk_score
@@ -219,7 +238,7 @@ FROM (
 CTES["alerting"] = """
 SELECT *, CASE WHEN by_run THEN 'HIGH risk for ' || cast(consecutive_high AS varchar) || ' consecutive clean laps'
                WHEN by_risk THEN 'Risk score ' || printf('%.2f', shown_risk) || ' >= fallback threshold 0.8'
-               ELSE 'ML anomaly (score=' || cast(anomaly_score AS varchar) || ') without rule-based HIGH' END AS reason
+               ELSE 'ML anomaly (score=' || printf('%.6f', anomaly_score) || ') without rule-based HIGH' END AS reason
 FROM (
     SELECT *, coalesce(risk_score, 0) AS shown_risk,
            consecutive_high >= 2 AS by_run, coalesce(risk_score, 0) >= 0.8e0 AS by_risk
@@ -237,7 +256,8 @@ NEEDS = {
     "ev": [], "laps": ["ev"], "weather": ["ev"], "lapw": ["laps", "weather"], "flagged": ["lapw"],
     "windowed": ["flagged"], "feat": ["windowed"], "sloped": ["feat"], "base": ["sloped"],
     "by_rc": ["base"], "by_ca": ["base"], "by_g": ["base"], "fielded": ["sloped"],
-    "attached": ["fielded", "base", "by_rc", "by_ca", "by_g"], "risk": ["attached"],
+    "attached": ["fielded", "base", "by_rc", "by_ca", "by_g"], "rated": ["attached"],
+    "paths": ["feat"], "scored": ["paths"], "risk": ["rated", "scored"],
     "runs": ["risk"], "alerting": ["runs"], "state": ["runs"],
 }
 
@@ -369,20 +389,6 @@ _HISTORY = (
     + ", cast(coalesce(lap_number, 0) AS double) AS order_key FROM risk"
 )
 
-# The hand-made forest: path length of each tree, written out.
-_PATHS = """
-SELECT *, CASE WHEN pace_delta < 0.5 THEN CASE WHEN tyre_life < 12 THEN 3e0 ELSE 2.5e0 END ELSE 1.5e0 END AS t0,
-       CASE WHEN track_temp_c < 35 THEN 2e0 WHEN pace_delta < -1 THEN 2.25e0 ELSE 3.5e0 END AS t1,
-       CASE WHEN tyre_life < 20 THEN CASE WHEN pace_delta < 3 THEN 4e0 ELSE 2e0 END ELSE 1e0 END AS t2
-FROM windowed
-"""
-_C8 = "(2e0 * (ln(7e0) + 0.5772156649015329e0) - 14e0 / 8e0)"
-_SCORED = f"""
-SELECT *, CASE WHEN {_known("pace_delta tyre_life track_temp_c")}
-               THEN -pow(2e0, -((t0 + t1 + t2) / 3e0) / {_C8}) END AS score
-FROM paths
-"""
-
 _SLUG = r"translate(lower(regexp_replace({}, '^\s+|\s+$', '', 'g')), ' -/', '___')"
 
 ORACLES: dict[str, str] = {
@@ -503,7 +509,7 @@ ORACLES: dict[str, str] = {
     ),
     "forest_scores": sql(
         f"SELECT {_KEY}, {r6('score', 'anomaly_score')}, coalesce(score < -0.6e0, false) AS is_anomaly FROM scored",
-        "windowed", paths=_PATHS, scored=_SCORED,
+        "scored",
     ),
     "anomaly_no_model": sql(
         f"SELECT {_KEY}, cast(NULL AS double) AS anomaly_score, false AS is_anomaly FROM laps", "laps"
@@ -535,7 +541,7 @@ ORACLES: dict[str, str] = {
     "replay_filter_by_name": sql(f"SELECT {_KEY} FROM laps WHERE race_name = 'Race 1'", "laps"),
     "replay_messages": sql(
         f"SELECT driver_code AS key, {_EVENT_REST}, {r6s(_EVENT_DOUBLES)}, "
-        "'2024-01-01T00:00:00+00:00' AS event_time FROM risk",
+        "'2024-01-01T00:' || lpad(cast(lap_number % 60 AS varchar), 2, '0') || ':00+00:00' AS event_time FROM risk",
         "risk",
     ),
     "replay_until_lap": sql("SELECT driver_code AS key, lap_number FROM laps WHERE lap_number <= 20", "laps"),
@@ -618,3 +624,32 @@ ORACLES: dict[str, str] = {
     "clean_by_compound": sql("SELECT compound, count(*) AS laps FROM flagged WHERE clean_lap GROUP BY compound", "flagged"),
     "free_sql": sql("SELECT compound, count(*) AS laps FROM flagged WHERE clean_lap GROUP BY compound", "flagged"),
 }
+
+_STAMP = "'2024-01-01 00:00:00'"
+ORACLES |= {
+    "stream_state": sql(
+        f"SELECT year, race_round, {_state_text()}, {_STAMP} AS timestamp FROM named", "state", named=_NAMED_STATE
+    ),
+    "stream_alerts": sql(
+        f"SELECT {_ALERT}, {_STAMP} AS timestamp FROM (SELECT * FROM alerting ORDER BY {_ALERT_ORDER} LIMIT 200)", "alerting"
+    ),
+    "stream_header": sql(
+        f"SELECT (SELECT race_name FROM newest) AS race_name, (SELECT last_lap FROM newest) AS last_lap, {_STAMP} AS updated_at, "
+        "count(*) AS drivers, "
+        + ", ".join(r6(f"avg({n})", n) for n in ("track_temp_c", "air_temp_c", "wind_speed"))
+        + ", coalesce(bool_or(rainfall), false) AS wet, count(*) FILTER (WHERE is_anomaly) AS anomalies FROM state",
+        "state", newest=ORACLES["race_current"].rpartition(")\n")[2],
+    ),
+    "stream_race": ORACLES["race_current"].replace("lap_number AS last_lap", f"lap_number AS last_lap, {_STAMP} AS updated_at"),
+    "stream_metrics": sql(
+        "SELECT (SELECT count(*) FROM laps) AS rows, (SELECT count(*) FROM alerting) AS alerts", "alerting"
+    ),
+    "stored_raw_laps": sql(f"SELECT {_LAP_TEXT}, stint, race_round AS round, {r6s(_LAP_DOUBLES)} FROM laps", "laps"),
+    "stored_races": sql("SELECT DISTINCT year, race_round FROM laps", "laps"),
+    "stored_baselines": ORACLES["compound_age_baselines"],
+    "stored_events": ORACLES["replay_events"],
+    "saved_forest_scores": ORACLES["forest_scores"],
+} | {
+    f"report_{name}": ORACLES[name]
+    for name in ("driver_pace", "compound_temp", "top_anomalies", "stint_lengths", "risk_by_compound", "wet_dry")
+}

@@ -12,7 +12,7 @@ from stintlab.config import RULES, SCALE, Rules, Scale
 from stintlab.operators.ordered import blocked_running, per_group, spread_rank
 from stintlab.schemas import LAP_ORDER, LIVE_KEYS
 
-# Fields of the live state of one driver, in store order; the value is the event field.
+# Fields of the live state of one driver, in store order; the value is the event field.
 STATE_FIELDS = {
     "driver_code": "driver_code",
     "constructor_key": "constructor_key",
@@ -37,10 +37,12 @@ STATE_FIELDS = {
     "consecutive_high": "consecutive_high",
 }
 
+# Fixed values.
 HISTORY_FIELDS = [
     "lap_time_sec", "risk_score", "pace_delta", "tyre_life", "compound", "risk_status",
 ]
 
+# Fixed values.
 ALERT_COLUMNS = ["lap", "driver_code", "compound", "tyre_life", "risk_score", "reason"]
 
 
@@ -191,7 +193,8 @@ def state_text(state: DataFrame) -> DataFrame:
         # format_string spells a null out, so the value itself decides.
         return F.when(value.isNull(), F.lit("")).otherwise(shown).alias(name)
 
-    return state.select("year", "race_round", *[text(c) for c in STATE_FIELDS])
+    stamp = [text("timestamp")] if "timestamp" in state.columns else []
+    return state.select("year", "race_round", *[text(c) for c in STATE_FIELDS], *stamp)
 
 
 _BOARD_INTEGERS = ["lap_number", "stint", "consecutive_high"]
@@ -236,9 +239,20 @@ def driver_trend(history_rows: DataFrame, driver: str) -> DataFrame:
     )
 
 
+def with_race(header: DataFrame, race: DataFrame) -> DataFrame:
+    """A header with name and lap of the race that the pointer names; both are one row."""
+    pointer = race.select(F.struct("race_name", "last_lap")).scalar()
+    return header.withColumn("_race", pointer).select(
+        F.col("_race.race_name").alias("race_name"), F.col("_race.last_lap").alias("last_lap"),
+        *[c for c in header.columns if c != "last_lap"],
+    )
+
+
 def live_header(state: DataFrame) -> DataFrame:
-    """Drivers, last lap, mean conditions, any rain, current anomalies."""
+    """Drivers, last lap, mean conditions, any rain, current anomalies, last update if it is known."""
+    updated = [F.max("timestamp").alias("updated_at")] if "timestamp" in state.columns else []
     return state.agg(
+        *updated,
         F.count("*").alias("drivers"),
         F.max("lap_number").alias("last_lap"),
         F.avg("track_temp_c").alias("track_temp_c"),

@@ -146,5 +146,8 @@ def run_batch(
 ) -> DataFrame:
     """Features, then the model, then events: later steps read what earlier ones wrote."""
     write_features(spark, at, rules)
-    write_model(spark, at, rules)
+    try:
+        write_model(spark, at, rules)
+    except M.TooFewRows as e:
+        log.warning("no new anomaly model: %s", e)
     return write_events(spark, at, race, rules)

@@ -19,7 +19,7 @@ from stintlab.operators import live, reports
 from stintlab.operators.slopes import add_degradation_slopes
 from stintlab.operators.weather import attach_weather
 from stintlab.plans import lap_view, serving
-from stintlab.plans.batch import score_laps
+from stintlab.plans.batch import Layout, score_laps, write_events, write_features
 from stintlab.schemas import BASELINE_KEYS, FIELD_KEYS, LAP_DDL, STINT_KEYS, names_of
 from stintlab.sources import laps as store
 from stintlab.sources import replay
@@ -81,9 +81,26 @@ def sloped(spark: SparkSession, d: str) -> DataFrame:
     return add_degradation_slopes(L.add_stint_windows(flagged(spark, d)))
 
 
+# A fixed small forest over three inputs, as (tree, node, feature, split, path). Fixed values.
+HAND_FOREST = [
+    (0, 0, 0, 0.5, 0.0), (0, 1, 1, 12.0, 0.0), (0, 2, -1, 0.0, 1.5), (0, 3, -1, 0.0, 3.0),
+    (0, 4, -1, 0.0, 2.5),
+    (1, 0, 2, 0.5, 0.0), (1, 1, -1, 0.0, 2.0), (1, 2, 0, -1.0, 0.0), (1, 5, -1, 0.0, 2.25),
+    (1, 6, -1, 0.0, 3.5),
+    (2, 0, 1, 20.0, 0.0), (2, 1, 0, 3.0, 0.0), (2, 2, -1, 0.0, 1.0), (2, 3, -1, 0.0, 4.0),
+    (2, 4, -1, 0.0, 2.0),
+]
+HAND_INPUTS = ["pace_delta", "tyre_life", "field_delta"]
+
+
+def hand_forest(spark: SparkSession) -> M.Forest:
+    nodes = spark.createDataFrame(HAND_FOREST, M.NODE_DDL)
+    return M.Forest(nodes, HAND_INPUTS, 8, 3, 0.05, 8, -0.6)
+
+
 def events(spark: SparkSession, d: str) -> DataFrame:
-    """Scored events without weather, anomalies by rule."""
-    return lap_view.stand_in_anomaly(score_laps(laps(spark, d)).events)
+    """Events without weather, with risk and the small forest's anomaly scores."""
+    return M.score_events(score_laps(laps(spark, d)).events, hand_forest(spark))
 
 
 def weather_events(spark: SparkSession, d: str) -> DataFrame:
@@ -345,23 +362,6 @@ def replay_events(spark, d):
 # --- anomaly model --------------------------------------------------------------------------
 
 
-# A fixed small forest over three inputs, as (tree, node, feature, split, path). Fixed values.
-HAND_FOREST = [
-    (0, 0, 0, 0.5, 0.0), (0, 1, 1, 12.0, 0.0), (0, 2, -1, 0.0, 1.5), (0, 3, -1, 0.0, 3.0),
-    (0, 4, -1, 0.0, 2.5),
-    (1, 0, 2, 35.0, 0.0), (1, 1, -1, 0.0, 2.0), (1, 2, 0, -1.0, 0.0), (1, 5, -1, 0.0, 2.25),
-    (1, 6, -1, 0.0, 3.5),
-    (2, 0, 1, 20.0, 0.0), (2, 1, 0, 3.0, 0.0), (2, 2, -1, 0.0, 1.0), (2, 3, -1, 0.0, 4.0),
-    (2, 4, -1, 0.0, 2.0),
-]
-HAND_INPUTS = ["pace_delta", "tyre_life", "track_temp_c"]
-
-
-def hand_forest(spark: SparkSession) -> M.Forest:
-    nodes = spark.createDataFrame(HAND_FOREST, M.NODE_DDL)
-    return M.Forest(nodes, HAND_INPUTS, 8, 3, 0.05, 8, -0.6)
-
-
 @query
 def anomaly_training_frame(spark, d):
     return M.training_frame(weather_features(spark, d)).select(*LAP_KEY, *M.ANOMALY_FEATURES)
@@ -369,9 +369,7 @@ def anomaly_training_frame(spark, d):
 
 @query
 def forest_scores(spark, d):
-    table = L.add_stint_windows(L.add_clean_lap(laps(spark, d)))
-    table = attach_weather(table, weather(spark, d))
-    return M.score_events(table, hand_forest(spark)).select(
+    return M.score_events(features(spark, d), hand_forest(spark)).select(
         *LAP_KEY, "anomaly_score", "is_anomaly"
     )
 
@@ -429,8 +427,11 @@ def replay_filter_by_name(spark, d):
 
 @query
 def replay_messages(spark, d):
+    of_lap = F.concat(
+        F.lit("2024-01-01T00:"), F.lpad(F.col("lap_number") % 60, 2, "0"), F.lit(":00+00:00")
+    )
     sent = replay.in_replay_order(
-        replay.replay_messages(weather_events(spark, d), event_time=EVENT_TIME)
+        replay.replay_messages(weather_events(spark, d), event_time=of_lap)
     )
     event = F.from_json("value", replay.struct_of(replay.EVENT_DDL)).alias("e")
     return sent.select("key", event).select("key", "e.*")
@@ -486,19 +487,26 @@ def _alerts(spark, d) -> DataFrame:
     return live.alerts(live.add_consecutive_high(events(spark, d), counted=laps(spark, d)))
 
 
+def shown(alert_rows: DataFrame) -> DataFrame:
+    """Reasons with their score to 6 digits, as all doubles are compared."""
+    score = F.regexp_extract("reason", r"\(score=([^)]*)\)", 1).try_cast("double")
+    short = F.format_string("ML anomaly (score=%.6f) without rule-based HIGH", score)
+    return alert_rows.withColumn("reason", F.when(score.isNotNull(), short).otherwise(F.col("reason")))
+
+
 @query
 def alerts(spark, d):
-    return _alerts(spark, d)
+    return shown(_alerts(spark, d))
 
 
 @query
 def alerts_log(spark, d):
-    return live.alert_log(_alerts(spark, d))
+    return shown(live.alert_log(_alerts(spark, d)))
 
 
 @query
 def recent_alerts(spark, d):
-    return live.recent_alerts(_alerts(spark, d)).select(*live.ALERT_COLUMNS)
+    return shown(live.recent_alerts(_alerts(spark, d))).select(*live.ALERT_COLUMNS)
 
 
 @query
@@ -536,17 +544,123 @@ def race_current(spark, d):
     return live.race_pointer(laps(spark, d))
 
 
+# Tables that a job or a stream has written, kept per session and input so that each is written once.
+_written: dict[tuple[str, str, str], object] = {}
+
+
+def _once(kind: str, spark: SparkSession, d: str, make: Callable[[str], object]):
+    key = (kind, spark.sparkContext.applicationId, d)
+    if key not in _written:
+        _written[key] = make(f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}")
+    return _written[key]
+
+
+UPDATED = "2024-01-01 00:00:00"
+
+
+def _monitored(spark, d) -> LiveTables:
+    """The monitor's tables after a drained stream of all messages."""
+
+    def make(root: str) -> LiveTables:
+        sent = replay.replay_messages(weather_events(spark, d), event_time=EVENT_TIME)
+        replay.publish_to_files(sent, f"{root}/messages")
+        tables = LiveTables(spark, f"{root}/tables")
+        source = replay.file_source(spark, f"{root}/messages", bytes_per_batch=1 << 30)
+        now = F.lit(UPDATED).cast("timestamp")
+        start_monitor(source, tables, f"{root}/checkpoint", drain=True, now=now).awaitTermination()
+        return tables
+
+    return _once("live", spark, d, make)
+
+
 @query
 def stream_history(spark, d):
     """The monitor run over all messages as a drained stream; its history table."""
-    root = f"{shared_dir(spark)}/live/{uuid.uuid4().hex}"
-    sent = replay.replay_messages(events(spark, d), event_time=EVENT_TIME)
-    replay.publish_to_files(sent, f"{root}/messages")
-    tables = LiveTables(spark, f"{root}/tables")
-    source = replay.file_source(spark, f"{root}/messages", files_per_batch=10_000)
-    run = start_monitor(source, tables, f"{root}/checkpoint", drain=True)
-    run.awaitTermination()
-    return tables.history()
+    return _monitored(spark, d).history()
+
+
+@query
+def stream_state(spark, d):
+    return live.state_text(_monitored(spark, d).state())
+
+
+@query
+def stream_alerts(spark, d):
+    log = _monitored(spark, d).alert_log().drop("batch_id")
+    return shown(log).withColumn("timestamp", F.col("timestamp").cast("string"))
+
+
+@query
+def stream_header(spark, d):
+    tables = _monitored(spark, d)
+    header = live.with_race(live.live_header(tables.state()), tables.race())
+    return header.withColumn("updated_at", F.col("updated_at").cast("string"))
+
+
+@query
+def stream_race(spark, d):
+    return _monitored(spark, d).race().select("race_name", "year", "last_lap", F.col("updated_at").cast("string"))
+
+
+@query
+def stream_metrics(spark, d):
+    return _monitored(spark, d).metrics().agg(F.sum("rows").alias("rows"), F.sum("alerts").alias("alerts"))
+
+
+# --- written tables read back ---------------------------------------------------------------
+
+
+def _stored(spark, d) -> Layout:
+    """Raw laps, features, a saved forest, baselines and events, each written by its own step."""
+
+    def make(root: str) -> Layout:
+        at = Layout.under(root)
+        store.write_raw_laps(weather_laps(spark, d).drop("event_id"), at.raw)
+        write_features(spark, at)
+        hand_forest(spark).save(at.model)
+        write_events(spark, at)
+        return at
+
+    return _once("stored", spark, d, make)
+
+
+@query
+def stored_raw_laps(spark, d):
+    return store.read_raw_laps(spark, _stored(spark, d).raw).select(*names_of(LAP_DDL), "round")
+
+
+@query
+def stored_races(spark, d):
+    return store.existing_races(spark, _stored(spark, d).raw)
+
+
+@query
+def stored_baselines(spark, d):
+    return spark.read.parquet(_stored(spark, d).baselines)
+
+
+@query
+def stored_events(spark, d):
+    return spark.read.parquet(_stored(spark, d).events).select(*replay.PAYLOAD_FIELDS)
+
+
+@query
+def saved_forest_scores(spark, d):
+    forest = M.load_forest(spark, _stored(spark, d).model)
+    return M.score_events(features(spark, d), forest).select(*LAP_KEY, "anomaly_score", "is_anomaly")
+
+
+def _report(name: str) -> None:
+    def report(spark, d):
+        serving.register_views(spark, _stored(spark, d).views())
+        return serving.run_report(spark, name)
+
+    report.__name__ = f"report_{name}"
+    query(report)
+
+
+for _name in serving.REPORTS:
+    _report(_name)
 
 
 # --- reports for users ----------------------------------------------------------------------

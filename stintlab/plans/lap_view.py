@@ -92,10 +92,3 @@ def weather_of(events: DataFrame) -> DataFrame:
         "ts", "user_id", "cast(get_json_object(props, '$.k') AS int) AS k"
     ).selectExpr(*_WEATHER)
 
-
-def stand_in_anomaly(df: DataFrame) -> DataFrame:
-    """Anomaly columns by rule, for reports that need them without a trained model."""
-    eid = F.col("event_id")
-    return df.withColumns(
-        {"anomaly_score": -(0.4 + (eid % 97) / 200.0), "is_anomaly": eid % 20 == 0}
-    )

@@ -51,8 +51,27 @@ _READ_NODES = {
     "UnresolvedTVFAliases", "UnresolvedWith", "Unpivot", "WithWindowDefinition",
 }
 _TABLE_FUNCTIONS = {"range", "explode"}
-# Functions that reach outside the query.
-_REFUSED_FUNCTIONS = {"reflect", "java_method", "try_reflect"}
+# Functions a query may call. Whatever is not named here is refused.
+_FUNCTIONS = set(
+    """
+    abs any any_value approx_count_distinct array array_agg array_contains array_distinct array_max array_min
+    array_position array_size array_sort arrays_zip avg between bool_and bool_or bround cardinality cast ceil ceiling char_length
+    coalesce collect_list collect_set concat concat_ws contains corr count count_if covar_pop covar_samp cume_dist
+    date_add date_diff date_format date_sub date_trunc datediff day dense_rank element_at endswith equal_null every exp
+    explode filter first first_value floor format_number greatest hour if ifnull ilike initcap instr isnan isnotnull isnull lag
+    last last_value lead least left length like ln locate log log10 log2 lower lpad ltrim map map_keys map_values max
+    max_by mean median min min_by minute mod mode month named_struct negative nth_value ntile nullif nullifzero nvl nvl2
+    percent_rank percentile percentile_approx percentile_cont percentile_disc pmod posexplode position pow power quarter rank regexp_count
+    regexp_extract regexp_like regexp_replace regr_count regr_intercept regr_r2 regr_slope repeat replace reverse right
+    rint rlike round row_number rpad rtrim second sequence sign size skewness slice some sort_array split sqrt startswith
+    std stddev stddev_pop stddev_samp struct substr substring sum to_date to_timestamp transform trim try_add try_avg
+    try_cast try_divide try_multiply try_subtract try_sum typeof upper var_pop var_samp variance weekday width_bucket when year
+    zeroifnull
+    """.split()
+)
+# What an analysed plan may end in, apart from the views themselves.
+_LEAVES = {"OneRowRelation", "OneRowRelation$", "LocalRelation", "Range", "CTERelationRef", "UnionLoopRef"}
+_FOREIGN_CODE = ("Reflect", "UDF", "UserDefined", "Udf")
 
 
 class RefusedQuery(ValueError):
@@ -75,11 +94,11 @@ def _walk(plan, views: set[str]) -> None:
     elif kind not in _READ_NODES:
         raise RefusedQuery(f"not allowed in a read-only query: {kind}")
     if kind == "UnresolvedWith":
-        # Names bound here count as views from this point on.
-        bound = [_items_of_pair(pair) for pair in _items(plan.cteRelations())]
-        for name, relation in bound:
+        # A name counts as a view after its own query, which may only use it if it is recursive.
+        for name, relation in map(_items_of_pair, _items(plan.cteRelations())):
+            within = views | {name.lower()} if plan.allowRecursion() else views
+            _walk(relation, within)
             views = views | {name.lower()}
-            _walk(relation, views)
     if kind == "UnresolvedRelation":
         parts = _items(plan.multipartIdentifier())
         if len(parts) != 1 or parts[0].lower() not in views:
@@ -95,16 +114,44 @@ def _items_of_pair(pair) -> tuple[str, object]:
 
 
 def _walk_expression(expression, views: set[str]) -> None:
-    if _kind(expression) == "UnresolvedFunction":
-        name = _items(expression.nameParts())[-1].lower()
-        if name in _REFUSED_FUNCTIONS:
-            raise RefusedQuery(f"function not allowed: {name}")
+    kind = _kind(expression)
+    if "Identifier" in kind:
+        raise RefusedQuery("names must be written out")
+    if kind == "UnresolvedFunction":
+        parts = _items(expression.nameParts())
+        if len(parts) != 1 or parts[0].lower() not in _FUNCTIONS:
+            raise RefusedQuery(f"function not allowed: {'.'.join(parts)}")
     if "SubqueryExpression" in _base_names(expression):
         _walk(expression.plan(), views)
     for child in _items(expression.children().toSeq()):
         _walk_expression(child, views)
 
 
+def _check_analysed(plan, views: set[str]) -> None:
+    """What names resolved to: nothing but the views, and no code from outside Spark's own."""
+    kind, children = _kind(plan), _items(plan.children().toSeq())
+    if kind == "View" and plan.desc().identifier().table().lower() in views:
+        return
+    if not children and kind not in _LEAVES:
+        raise RefusedQuery(f"reads more than the known views: {kind}")
+    for expression in _items(plan.expressions().toSeq()):
+        _check_code(expression, views)
+    for child in children:
+        _check_analysed(child, views)
+    if kind == "WithCTE":
+        for definition in _items(plan.cteDefs()):
+            _check_analysed(definition, views)
+
+
+def _check_code(expression, views: set[str]) -> None:
+    if any(x in _kind(expression) for x in _FOREIGN_CODE):
+        raise RefusedQuery(f"not allowed in a read-only query: {_kind(expression)}")
+    if "SubqueryExpression" in _base_names(expression):
+        _check_analysed(expression.plan(), views)
+    for child in _items(expression.children().toSeq()):
+        _check_code(child, views)
+
+
 def _base_names(node) -> list[str]:
     names, kind = [], node.getClass()
     while kind is not None:
@@ -117,12 +164,15 @@ def read_only_sql(spark: SparkSession, text: str, views: tuple[str, ...] = VIEWS
     """Run one SELECT over the views.
 
     Spark's own parser turns the text into a plan, and the plan is checked before anything runs,
-    so words inside names or strings do no harm and statements cannot hide behind a WITH.
+    so words inside names or strings do no harm and statements cannot hide behind a WITH. What the
+    names then resolve to is checked once more on the analysed plan.
     """
     text = text.strip().rstrip(";")
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-    _walk(plan, {v.lower() for v in views})
-    return spark.sql(text)
+    known = {v.lower() for v in views}
+    _walk(spark._jsparkSession.sessionState().sqlParser().parsePlan(text), known)
+    out = spark.sql(text)
+    _check_analysed(out._jdf.queryExecution().analyzed(), known)
+    return out
 
 
 def refused(spark: SparkSession, text: str) -> bool:

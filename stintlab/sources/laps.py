@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlab.schemas import LAP_DDL, WEATHER_DDL, struct_of
-from stintlab.sources.tables import path_exists, write_partitioned
+from stintlab.sources.tables import matching_paths, path_exists, write_partitioned
 
 PARTITION = ["year", "round"]
 RAW_DDL = LAP_DDL.rstrip() + "," + WEATHER_DDL
@@ -20,9 +23,10 @@ def write_raw_laps(laps: DataFrame, root: str) -> None:
     """Write laps under year=/round=, replacing only the races in the input.
 
     race_round stays a data column; round is its copy in the path. Weather columns are cast to
-    their types first, so sessions without weather do not leave untyped columns behind.
+    their types first, so sessions without weather do not leave untyped columns behind. A value
+    that its column's type cannot hold is written as unknown.
     """
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in struct_of(RAW_DDL) if f.name in laps.columns]
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in struct_of(RAW_DDL) if f.name in laps.columns]
     write_partitioned(
         laps.select(*typed, F.col("race_round").cast("int").alias("round")), root, PARTITION
     )
@@ -34,10 +38,10 @@ def read_raw_laps(spark: SparkSession, root: str) -> DataFrame:
 
 
 def existing_races(spark: SparkSession, root: str) -> DataFrame:
-    """(year, race_round) of the races stored under root; only partition values are read."""
-    if not path_exists(spark, f"{root}/year=*/round=*"):
-        return spark.createDataFrame([], "year int, race_round int")
-    return spark.read.parquet(root).select("year", F.col("round").alias("race_round")).distinct()
+    """(year, race_round) of the races stored under root, as the folders say; no file is opened."""
+    found = [re.search(r"year=(-?\d+)/round=(-?\d+)$", p) for p in matching_paths(spark, f"{root}/year=*/round=*")]
+    races = [(int(m[1]), int(m[2])) for m in found if m]
+    return spark.createDataFrame(races, "year int, race_round int")
 
 
 def only_new(laps: DataFrame, existing: DataFrame) -> DataFrame:
@@ -56,6 +60,23 @@ def race_rounds(schedule: DataFrame) -> DataFrame:
     return schedule.filter(F.col("round") > 0).orderBy("year", "round")
 
 
+def unreadable(laps: DataFrame) -> Column:
+    """True for a row with a value that its column's type cannot hold."""
+    kinds = [f for f in struct_of(RAW_DDL) if f.name in laps.columns]
+    return reduce(
+        lambda a, b: a | b,
+        [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in kinds],
+        F.lit(False),
+    )
+
+
+def readable_races(laps: DataFrame) -> DataFrame:
+    """(year, race_round) of the races all of whose values can be read."""
+    keys = [F.col(k).try_cast("int").alias(k) for k in ("year", "race_round")]
+    races = laps.select(*keys, unreadable(laps).alias("bad")).groupBy("year", "race_round")
+    return races.agg(F.bool_or("bad").alias("bad")).filter(~F.col("bad")).drop("bad")
+
+
 def sweep_manifest(
     schedule: DataFrame, landed: DataFrame, existing: DataFrame, skip_existing: bool = True
 ) -> DataFrame:
@@ -78,9 +99,11 @@ def sweep(
 ) -> DataFrame:
     """Ingest every scheduled race in one write; returns counts per status.
 
-    A race without laps fails by itself and does not hold up the others.
+    A race without laps, or with a value that cannot be read, fails by itself and does not hold up
+    the others.
     """
     spark = landed.sparkSession
+    landed = landed.join(readable_races(landed), ["year", "race_round"], "left_semi")
     manifest = sweep_manifest(schedule, landed, existing_races(spark, root), skip_existing)
     # Settled before the write below changes what is stored; bounded by the race calendar.
     counts = spark.createDataFrame(

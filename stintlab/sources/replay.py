@@ -32,15 +32,18 @@ def filter_race(events: DataFrame, race: str, must_exist: bool = True) -> DataFr
 
 
 def replay_messages(
-    events: DataFrame, max_laps: int | None = None, event_time: str | None = None
+    events: DataFrame, max_laps: int | None = None, event_time: Column | str | None = None
 ) -> DataFrame:
     """(lap_number, key, value) per event: key is the driver, value the JSON payload.
 
-    All messages carry one event time. Unknown numbers are JSON nulls, never NaN.
+    event_time may be an expression, such as one of the lap number, or one text for all messages;
+    by default it is the time of the call. Unknown numbers are JSON nulls, never NaN.
     """
     if max_laps is not None:
         events = events.filter(F.col("lap_number") <= max_laps)
-    event_time = event_time or datetime.now(timezone.utc).isoformat()
+    if event_time is None:
+        event_time = datetime.now(timezone.utc).isoformat()
+    sent_at = event_time if isinstance(event_time, Column) else F.lit(event_time)
     kinds = {f.name: f.dataType for f in struct_of(EVENT_DDL)}
     fields = []
     for name in PAYLOAD_FIELDS:
@@ -48,7 +51,7 @@ def replay_messages(
             value = F.col(name).cast(kinds[name])
             value = not_nan(value) if kinds[name].typeName() == "double" else value
             fields.append(value.alias(name))
-    payload = F.struct(*fields, F.lit(event_time).alias("event_time"))
+    payload = F.struct(*fields, sent_at.alias("event_time"))
     return events.select(
         "lap_number",
         F.col("driver_code").cast("string").alias("key"),
@@ -91,9 +94,14 @@ def kafka_source(
     )
 
 
+def by_driver(messages: DataFrame) -> DataFrame:
+    """Messages as one task per driver sends them: all of a driver's in one partition, in lap order."""
+    return messages.repartition("key").sortWithinPartitions("key", "lap_number")
+
+
 def publish_to_kafka(messages: DataFrame, servers: str, topic: str) -> None:
     (
-        in_replay_order(messages)
+        by_driver(messages)
         .select("key", "value")
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -104,15 +112,18 @@ def publish_to_kafka(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def publish_to_files(messages: DataFrame, path: str) -> None:
-    """A message table, one folder per lap."""
-    write_table(messages, path, by=["lap_number"])
+    """A message table; files hold ranges of laps."""
+    write_table(messages.repartitionByRange("lap_number", "key").sortWithinPartitions("lap_number", "key"), path)
 
 
-def file_source(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
-    """Streaming messages from Parquet files as they arrive; a batch is bounded in files."""
+def file_source(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, bytes_per_batch: int = 256 << 20
+) -> DataFrame:
+    """Streaming messages from Parquet files as they arrive; a batch is bounded in bytes, or in files."""
+    bound = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else ("maxBytesPerTrigger", bytes_per_batch)
     return (
         spark.readStream.schema("key string, value string, lap_number bigint")
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option(*bound)
         .option("recursiveFileLookup", "false")
         .parquet(path)
         .select("key", "value")

@@ -51,12 +51,15 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def path_exists(spark: SparkSession, pattern: str) -> bool:
-    """True if anything matches a path or glob on whatever file system it names."""
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """What matches a path or glob on whatever file system it names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    return [str(s.getPath().toString()) for s in fs.globStatus(hadoop_path) or []]
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(matching_paths(spark, pattern))
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -144,13 +144,19 @@ def _newest(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(batch: DataFrame, batch_id: int, tables: LiveTables, rules: Rules = RULES) -> None:
-    """Sinks of one micro-batch; an empty one does nothing."""
+# Every so many batches the state is settled anew.
+_FOLD_EVERY = 50
+
+
+def write_batch(
+    batch: DataFrame, batch_id: int, tables: LiveTables, rules: Rules = RULES, now: Column | None = None
+) -> None:
+    """Sinks of one micro-batch; an empty one does nothing. now is the time of the update."""
     batch = batch.persist()
     try:
         if batch.isEmpty():
             return
-        now = F.current_timestamp()
+        now = F.current_timestamp() if now is None else now
         state = live.driver_state(batch).withColumn("timestamp", now)
         tables.put(state, "state", batch_id)
         tables.put(live.history(batch), "history", batch_id)
@@ -161,6 +167,8 @@ def write_batch(batch: DataFrame, batch_id: int, tables: LiveTables, rules: Rule
             "alerts", alert_rows.agg(F.count("*")).scalar()
         )
         tables.put(counts, "metrics", batch_id)
+        if batch_id and batch_id % _FOLD_EVERY == 0:
+            tables.fold_state(batch_id - 1)
     finally:
         batch.unpersist()
 
@@ -173,6 +181,7 @@ def start_monitor(
     drain: bool = False,
     dedup_delay: str | None = None,
     idle: str | None = None,
+    now: Column | None = None,
 ) -> StreamingQuery:
     """Start the monitor on any stream of messages; drain stops once the input is used up."""
     events = parse_messages(messages)
@@ -182,6 +191,6 @@ def start_monitor(
     writer = (
         counted.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, tables, rules))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, tables, rules, now))
     )
     return (writer.trigger(availableNow=True) if drain else writer).start()

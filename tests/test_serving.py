@@ -10,6 +10,7 @@ def view(spark):
         "SELECT * FROM values ('SOFT', true, 1, 3), ('HARD', false, 2, 4) "
         "AS t(compound, clean_lap, created_at, x)"
     ).createOrReplaceTempView("lap_features")
+    spark.range(3).selectExpr("id AS x").createOrReplaceTempView("secret")
 
 
 @pytest.mark.parametrize(
@@ -27,6 +28,11 @@ def view(spark):
         "SELECT compound FROM lap_features EXCEPT SELECT 'SOFT'",
         "VALUES (1), (2)",
         "SELECT * FROM range(3)",
+        "WITH RECURSIVE n(i) AS (SELECT 1 UNION ALL SELECT i + 1 FROM n WHERE i < 5) SELECT sum(i) FROM n",
+        "WITH a AS (SELECT 1 AS x), b AS (SELECT x + 1 AS y FROM a) SELECT y FROM b",
+        "WITH a AS (WITH b AS (SELECT x FROM lap_features) SELECT * FROM b) SELECT * FROM a",
+        "SELECT * FROM lap_features l, LATERAL (SELECT max(x) FROM lap_features r WHERE r.x >= l.x)",
+        "SELECT CASE WHEN x > 3 THEN 'a' ELSE upper(compound) END, x BETWEEN 1 AND 2, cast(x AS double) FROM lap_features",
     ],
 )
 def test_reads_are_run(spark, text):
@@ -58,8 +64,28 @@ def test_reads_are_run(spark, text):
         "SELECT * FROM other_db.lap_features",
         "SELECT reflect('java.lang.System', 'exit', 1) FROM lap_features",
         "SELECT TRANSFORM (compound) USING 'cat' FROM lap_features",
+        "SELECT identifier('reflect')('java.lang.System', 'getProperty', 'java.version')",
+        "SELECT identifier('ref' || 'lect')('java.lang.System', 'getProperty', 'java.version') FROM lap_features",
+        "SELECT `reflect`('java.lang.System', 'getProperty', 'java.version') FROM lap_features",
+        "SELECT system.builtin.reflect('java.lang.System', 'getProperty', 'java.version')",
+        "SELECT * FROM lap_features WHERE x = (SELECT identifier('java_method')('java.lang.Math', 'abs', -1))",
+        "SELECT identifier('x') FROM lap_features",
+        "SELECT * FROM identifier('secret')",
+        "WITH secret AS (SELECT * FROM secret) SELECT * FROM secret",
+        "WITH a AS (WITH secret AS (SELECT * FROM secret) SELECT * FROM secret) SELECT * FROM a",
+        "SELECT (WITH secret AS (SELECT * FROM secret) SELECT max(x) FROM secret) FROM lap_features",
+        "WITH a AS (SELECT * FROM b), b AS (SELECT 1 AS x) SELECT * FROM a",
+        "SELECT * FROM lap_features l, LATERAL (SELECT max(x) FROM secret)",
+        "SELECT * FROM lap_features LATERAL VIEW explode(array(java_method('java.lang.Math', 'abs', -1))) e AS y",
+        "SELECT * FROM secret",
+        "SELECT version()",
     ],
 )
 def test_all_else_is_refused(spark, text):
     assert refused(spark, text)
     assert len(rows(spark.table("lap_features"))) == 2
+
+
+def test_invalid_recursion_never_reaches_the_view(spark):
+    with pytest.raises(Exception, match="INVALID_RECURSIVE_CTE|read-only|known views"):
+        read_only_sql(spark, "WITH RECURSIVE secret AS (SELECT * FROM secret) SELECT * FROM secret").collect()

@@ -67,6 +67,28 @@ def test_sweep(spark, raw, tmp_path):
     assert rows(store.corpus_by_year(store.read_raw_laps(spark, root)), "year", "races") == [(2024, 2)]
 
 
+def test_a_race_with_a_bad_value_fails_alone(spark, raw, tmp_path):
+    root = str(tmp_path / "laps")
+    bad = raw.withColumn(
+        "tyre_life", F.when((F.col("race_round") == 2) & (F.col("lap_number") == 3), "old").otherwise(F.col("tyre_life").cast("string"))
+    )
+    schedule = spark.createDataFrame([(2024, n, f"Race {n}") for n in (1, 2, 3)], "year int, round int, race_name string")
+    assert rows(store.sweep(schedule, bad, root)) == [("failed", 1), ("written", 2)]
+    assert races(spark, root) == [(2024, 1), (2024, 3)]
+
+
+def test_messages_of_a_driver_stay_in_lap_order(spark):
+    sent = spark.range(0, 3000, 1, 9).select(
+        (F.hash("id") % 400).cast("long").alias("lap_number"), F.concat(F.lit("D"), F.col("id") % 7).alias("key"), F.lit("v").alias("value")
+    )
+    laid = replay.by_driver(sent).withColumns({"task": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
+    seen = {}
+    for r in sorted(laid.collect(), key=lambda r: r["place"]):
+        assert seen.get(r["key"], (r["task"], r["lap_number"])) <= (r["task"], r["lap_number"])
+        assert seen.get(r["key"], (r["task"], 0))[0] == r["task"]
+        seen[r["key"]] = (r["task"], r["lap_number"])
+
+
 def test_resolve(spark, raw, tmp_path):
     root, single = str(tmp_path / "laps"), str(tmp_path / "laps.parquet")
     with pytest.raises(FileNotFoundError):
