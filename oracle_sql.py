@@ -653,3 +653,103 @@ ORACLES |= {
     f"report_{name}": ORACLES[name]
     for name in ("driver_pace", "compound_temp", "top_anomalies", "stint_lengths", "risk_by_compound", "wet_dry")
 }
+
+
+# --- the fitted forest: the same samples and splits from the same md5 texts ---------------------
+
+_INPUTS = "pace_delta field_delta tyre_life track_temp_c air_temp_c humidity wind_speed"
+_TREES, _SIZE = 200, 256
+
+
+def _u(*parts: str) -> str:
+    """A number in [0, 1) from the md5 of the parts, joined by colons."""
+    text = " || ':' || ".join(f"cast({p} AS varchar)" for p in ("42", *parts))
+    return f"(cast('0x' || substr(md5({text}), 1, 13) AS bigint) / 4503599627370496e0)"
+
+
+def _split_of(lows: str, highs: str, source: str) -> str:
+    """Adds feature and split of each row's node to a select that has its ranges; null for a leaf."""
+    return f"""
+SELECT *, CASE WHEN lows[feature] + {_u("tree", "node", "'split'")} * (highs[feature] - lows[feature]) > lows[feature]
+               THEN lows[feature] + {_u("tree", "node", "'split'")} * (highs[feature] - lows[feature])
+               ELSE highs[feature] END AS split
+FROM (
+    SELECT *, CASE WHEN depth < deepest AND len(varying) > 0
+                   THEN varying[1 + cast(floor({_u("tree", "node", "'feature'")} * len(varying)) AS bigint)] END AS feature
+    FROM (
+        SELECT *, list_filter(range(1, 8), lambda i: highs[i] > lows[i]) AS varying
+        FROM (SELECT *, {lows} AS lows, {highs} AS highs FROM {source})
+    )
+)"""
+
+
+def _ranges(over: str) -> tuple[str, str]:
+    return tuple("[" + ", ".join(f"{f}(v[{i}]) {over}" for i in range(1, 8)) + "]" for f in ("min", "max"))
+
+
+_NODE_WINDOW = "OVER (PARTITION BY tree, node)"
+_LOWS, _HIGHS = _ranges(_NODE_WINDOW)
+_FOREST = {
+    "inputs": f"""
+SELECT row_number() OVER () AS id, year, race_round, driver_code, stint, lap_number, clean_lap,
+       concat_ws('|', year, race_round, driver_code, stint, lap_number) AS key, [{_INPUTS.replace(" ", ", ")}] AS v
+FROM feat WHERE {_known(_INPUTS)}""",
+    "training": "SELECT * FROM inputs WHERE clean_lap",
+    "shares": f"""
+SELECT least({_SIZE}, n) AS size, cast(ceil(log2(least({_SIZE}, n))) AS int) AS deepest,
+       least(1e0, 1.5e0 * least({_SIZE}, n) / n) AS share FROM (SELECT count(*) AS n FROM training)""",
+    "samples": f"""
+SELECT tree, v, deepest FROM (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY chance, key) AS place FROM (
+        SELECT tree, key, v, size, deepest, share, {_u("tree", "key")} AS chance
+        FROM training, shares, range({_TREES}) t(tree)
+        WHERE {_u("'row'", "key")} < least(1e0, share * {_TREES})
+    ) WHERE chance < share / least(1e0, share * {_TREES})
+) WHERE place <= size""",
+    "grown": f"""
+SELECT tree, cast(0 AS bigint) AS node, 0 AS depth, deepest, v FROM samples
+UNION ALL
+SELECT tree, 2 * node + CASE WHEN v[feature] < split THEN 1 ELSE 2 END, depth + 1, deepest, v
+FROM ({_split_of(_LOWS, _HIGHS, "grown")}) WHERE feature IS NOT NULL""",
+    "nodes": f"""
+SELECT tree, node, feature, split,
+       depth + CASE WHEN n <= 1 THEN 0e0 WHEN n = 2 THEN 1e0
+                    ELSE 2e0 * (ln(n - 1e0) + 0.5772156649015329e0) - 2e0 * (n - 1) / n END AS path
+FROM ({_split_of("low", "high", "(SELECT tree, node, depth, deepest, count(*) AS n, " + _ranges("")[0] + " AS low, " + _ranges("")[1] + " AS high FROM grown GROUP BY tree, node, depth, deepest)")})""",
+    "walk0": f"SELECT id, v, tree, cast(0 AS bigint) AS node FROM inputs, range({_TREES}) t(tree)",
+} | {
+    f"walk{i}": f"""
+SELECT w.id, w.v, w.tree, CASE WHEN n.feature IS NULL THEN w.node WHEN w.v[n.feature] < n.split THEN 2 * w.node + 1
+                               ELSE 2 * w.node + 2 END AS node
+FROM walk{i - 1} w JOIN nodes n ON w.tree = n.tree AND w.node = n.node"""
+    for i in range(1, 9)
+} | {
+    "totals": f"""
+SELECT id, -pow(2e0, -round(sum(path), 9) / {_TREES} / (SELECT 2e0 * (ln(size - 1e0) + 0.5772156649015329e0) - 2e0 * (size - 1) / size FROM shares)) AS score
+FROM walk8 w JOIN nodes n ON w.tree = n.tree AND w.node = n.node GROUP BY id""",
+    "placed": "SELECT i.*, score FROM inputs i JOIN totals USING (id)",
+    "fitted": f"""
+SELECT f.year, f.race_round, f.driver_code, f.stint, f.lap_number, f.clean_lap, score,
+       coalesce(score < (SELECT quantile_cont(score, 0.05) FROM placed WHERE clean_lap), false) AS anomalous
+FROM feat f LEFT JOIN placed p USING (year, race_round, driver_code, stint, lap_number)""",
+}
+
+
+def _with_forest(select: str) -> str:
+    return sql(select, "feat", **_FOREST).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLES |= {
+    "isolation_forest": _with_forest(
+        f"SELECT {_KEY}, clean_lap, {r6('score', 'anomaly_score')}, anomalous AS is_anomaly FROM fitted"
+    ),
+    "isolation_forest_report": _with_forest(
+        "SELECT count(*) AS scored, count(*) FILTER (WHERE anomalous) AS anomalies, "
+        + r6("100e0 * count(*) FILTER (WHERE anomalous) / greatest(count(*), 1)", "rate_pct") + ", "
+        + ", ".join(
+            r6(f"quantile_cont(score, {p})", n)
+            for n, p in {"p1": 0.01, "p5": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}.items()
+        )
+        + " FROM fitted WHERE clean_lap AND score IS NOT NULL"
+    ),
+}
