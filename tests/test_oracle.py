@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from stintlab.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def con(data):
     return connect(data)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, data, name):
     assert difference(spark, con, data, name) is None
 
