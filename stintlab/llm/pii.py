@@ -118,14 +118,17 @@ def _surroundings(spans: DataFrame, rules: DisclosureRules) -> DataFrame:
     """One row per term beside a base span: key, entity, term, start, end, place (hash of the surroundings)."""
     every = F.concat(*[F.col(k) for k in KINDS])
     reach = 40 * rules.window  # characters that hold the window's words, unless they are longer
-    one = spans.select("key", "text", F.explode(every).alias("s"))
-    left = F.greatest(F.lit(0), F.col("s.start") - reach)
-    sides = one.select(
-        "key", F.col("s.value").alias("entity"),
-        F.struct(left.alias("at"), F.substring("text", left + 1, F.col("s.start") - left).alias("part")).alias("before"),
-        F.struct(F.col("s.end").alias("at"), F.substring("text", F.col("s.end") + 1, F.lit(reach)).alias("part")).alias("after"),
-        (left > 0).alias("cut"),
-    )
+
+    def around(s: Column) -> Column:
+        left = F.greatest(F.lit(0), s["start"] - reach)
+        return F.struct(
+            s["value"].alias("entity"), (left > 0).alias("cut"),
+            F.struct(left.alias("at"), F.substring(F.col("text"), left + 1, s["start"] - left).alias("part")).alias("before"),
+            F.struct(s["end"].alias("at"), F.substring(F.col("text"), s["end"] + 1, F.lit(reach)).alias("part")).alias("after"),
+        )
+
+    # Cut out before the rows multiply, so that no row carries the whole text.
+    sides = spans.select("key", F.explode(F.transform(every, around)).alias("s")).select("key", "s.*")
 
     def words(side: Column, last: bool) -> Column:
         """Structs of word and start, the window's words nearest to the entity."""
