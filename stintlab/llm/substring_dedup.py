@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, ship_package, stage
+from stintlab.llm.common import column_slices, row_key, ship_package, stage
 
 _PIECES = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+").findall
 
@@ -92,35 +92,42 @@ def runs_of(texts: list[str | None], rules: SpanRules) -> pd.DataFrame:
     return out
 
 
+# Stands for a null doc_id in the order of documents.
+_LAST = 2**63 - 1
+
+
 def repeated_spans(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame:
-    """doc_id, spans: characters from a to b of each run in a document that is not its first.
+    """row, spans: characters from a to b of each run in a document that is not its first, and first_doc.
 
-    Rows with equal doc_id are one document and count once. A null doc_id comes after all others.
+    Rows equal in doc_id and text are one document, known by row, their row_key, and count once. The
+    first is the one with the smallest doc_id and then row; a null doc_id comes after all others.
     """
     ship_package(docs.sparkSession)
 
     def run(batches):
         for part in column_slices(batches, "text"):
             runs = runs_of(part.column("text").to_pylist(), rules)
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, rows = (part.column(c).to_numpy(zero_copy_only=False)[runs["text"]] for c in ("doc_id", "row"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(runs["hash"]), pa.array(ids[runs["text"]], pa.int64()),
+                [pa.array(runs["hash"]), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()),
                  pa.array(runs["a"], pa.int32()), pa.array(runs["b"], pa.int32()), pa.array(runs["again"], pa.bool_())],
-                names=["hash", "doc_id", "a", "b", "again"],
+                names=["hash", "doc_id", "row", "a", "b", "again"],
             )
 
-    last = F.lit(2**63 - 1)
-    narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), "text")
-    found = stage(narrow.mapInArrow(run, "hash long, doc_id long, a int, b int, again boolean"))
+    narrow = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), row_key("doc_id", "text").alias("row"), "text"
+    )
+    found = stage(narrow.mapInArrow(run, "hash long, doc_id long, row long, a int, b int, again boolean"))
     # Staged on its own, so that the join below starts from two plain shuffles, which Spark can
     # split where one run holds a large part of all rows.
     repeated = stage(
-        found.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
-        .filter(F.col("n") > 1).select("hash", "first_doc")
+        found.groupBy("hash").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n"))
+        .filter(F.col("n") > 1).select("hash", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"))
     )
-    later = found.join(repeated, "hash").filter((F.col("doc_id") != F.col("first_doc")) | F.col("again"))
-    return later.groupBy("doc_id").agg(
-        F.collect_set(F.struct("a", "b")).alias("spans"), F.min("first_doc").alias("first_doc")
+    other = (F.col("doc_id") != F.col("first_doc")) | (F.col("row") != F.col("first_row"))
+    later = found.join(repeated, "hash").filter(other | F.col("again"))
+    return later.groupBy("row").agg(
+        F.collect_set(F.struct("a", "b")).alias("spans"), F.nullif(F.min("first_doc"), F.lit(_LAST)).alias("first_doc")
     )
 
 
@@ -129,12 +136,11 @@ def remove_repeated(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFram
 
     Needs doc_id and text; other columns are left out. Every row of docs gives one row. A text with
     fewer sentences or words than a run has none, and null stays null. A text that is all repeated
-    becomes empty.
+    becomes empty. first_doc is null where nothing is removed, or the first text has no id.
     """
-    last = F.lit(2**63 - 1)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("k", F.coalesce("doc_id", last))
-    spans = repeated_spans(docs, rules).withColumnRenamed("doc_id", "k")
-    joined = keyed.join(spans, "k", "left").select("doc_id", "text", "spans", "first_doc")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = keyed.withColumn("row", row_key("doc_id", "text"))
+    joined = keyed.join(repeated_spans(keyed, rules), "row", "left").select("doc_id", "text", "spans", "first_doc")
 
     def cut(batches):
         for part in column_slices(batches, "text"):

@@ -61,3 +61,17 @@ def test_awkward_rows_and_empty_table(spark):
     # Rows with one id are one document: it does not repeat itself.
     assert [r["text"] for r in got if r["doc_id"] == 4] == [ODD_ROWS[4][1]] * 2
     assert remove_repeated(table.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    """Null ids in particular: spans of one row are not cut from another, and repeats among them go."""
+    passage = " ".join(f"Sentence number {w} of the shared passage goes here." for w in "one two three four five".split())
+    own = lambda n: " ".join(f"Text {n} says thing {w} all by itself and unlike others." for w in "red green blue white black".split())
+    rows = [(None, passage + " First tail."), (None, "Some other head. " + passage), (None, own(1)), (7, own(2)), (7, own(3) + " " + own(2)), (8, own(1))]
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in remove_repeated(docs(spark, rows)).collect())
+    heads = {t.replace(passage, "").strip() for i, t in got if i == 0}
+    # Id 8 comes before null ids, id 7 is one id with two texts: the one with the smaller row keeps.
+    texts = [t for _, t in got]
+    assert (8, own(1)) in got and (0, "") in got and len(got) == len(rows)
+    assert sum(passage in t for t in texts) == 1 and heads == {"First tail.", "Some other head.", ""}
+    assert sum(own(2) in t for t in texts) == 1 and sum(own(3) in t for t in texts) == 1
