@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from stintlab.sources.shipping import ship_package
 from stintlab.sources.tables import stage
 
-__all__ = ["column_slices", "crc_fold", "hash_share", "read", "row_key", "ship_package", "stage"]
+__all__ = ["column_slices", "crc_fold", "hash_share", "kept_by_marks", "read", "row_key", "ship_package", "stage"]
 
 # Text handled at once inside a task.
 CHUNK_BYTES = 4 << 20
@@ -54,3 +56,28 @@ def column_slices(
             yield batch.slice(start)
 
 
+def kept_by_marks(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose hash in a long column is in wanted, and few others: a filter before a join.
+
+    The wanted hashes are marked in a bitmap of bounded size, so that rows are not shuffled.
+    """
+    bits = 1 << max(15, min(28, math.ceil(math.log2(max(2, 16 * wanted.count())))))
+    place = F.pmod(F.col(column), F.lit(bits)) + 1  # Spark's bitmaps number bits from 1
+    parts = (
+        wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap")).collect()
+    )
+    marks = np.zeros(bits // 8, dtype=np.uint8)
+    for r in parts:
+        at = (r["bucket"] - 1) * 4096
+        own = np.frombuffer(bytes(r["bitmap"]), dtype=np.uint8)[: bits // 8 - at]
+        marks[at : at + len(own)] = own
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            p = batch.column(batch.schema.get_field_index(column)).to_numpy(zero_copy_only=False) & (8 * len(own) - 1)
+            yield batch.filter(pa.array((own[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0))
+
+    return rows.mapInArrow(run, rows.schema)

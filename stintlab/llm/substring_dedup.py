@@ -3,13 +3,15 @@
 Every run of several consecutive sentences is hashed. Hashes are joined over all documents; of a
 repeated run the first occurrence, in the document with the smallest id, stays, and in all others
 the sentences it covers are removed. Long sentences count as several, so that a run is not out of
-reach in text without full stops.
+reach in text without full stops; they are cut at places their words decide, so that a passage is
+cut alike wherever it stands.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -17,30 +19,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, row_key, ship_package, stage
+from stintlab.llm.common import column_slices, kept_by_marks, row_key, ship_package, stage
 
-_PIECES = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+").findall
+# Full stops, question and exclamation marks, also of other scripts, and line breaks.
+_ENDS = r".!?\n\u0589\u061f\u06d4\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u17d4\u17d5\u203c\u203d\u2047-\u2049\u2028\u2029\u3002\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61"
+_PIECES = re.compile(rf"[^{_ENDS}]*[{_ENDS}]+\s*|[^{_ENDS}]+").findall
+# Thai, Lao, Tibetan, Myanmar, Khmer, kana and Han: letters of scripts that leave no blanks between words.
+_UNSPACED = r"\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SPACELESS = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(rf"(?:[{_UNSPACED}]|[^\s{_UNSPACED}]+)\s*").findall
+# Two-word hashes on either side that a cut's own is compared with.
+_NEAR = 3
 
 
 @dataclass(frozen=True)
 class SpanRules:
-    """A run starts at every sentence and is the shortest with both so many sentences and words."""
+    """A run starts at every sentence and is the shortest with both so many sentences and words.
+
+    longest_sentence: sentences of more words are cut, into pieces of no more.
+    """
 
     sentences: int = 3
     words: int = 12
     longest_sentence: int = 12
 
 
+def words_of(piece: str) -> list[str]:
+    """Words between blanks; in scripts without blanks each letter counts as one."""
+    return _SPACELESS.sub(r" \g<0> ", piece).split() if not piece.isascii() and _SPACELESS.search(piece) else piece.split()
+
+
+def _cuts(words: list[str], longest: int) -> list[int]:
+    """Words before which a long piece is cut: where the hash of the two words before is the least nearby.
+
+    The places depend on the words around them alone, not on where the piece begins. Where none
+    comes for so many words, as in text that repeats one word, there is a cut all the same.
+    """
+    low = " ".join(words).lower().encode().split(b" ")
+    hashes = [crc32(w, crc32(v)) for v, w in zip(low, low[1:])]
+    out, last = [], 0
+    for i in range(_NEAR - 1, len(hashes) - _NEAR):
+        h = hashes[i]
+        if h > hashes[i + 1] or h >= hashes[i - 1]:
+            continue
+        if h <= min(hashes[i + 1 : i + 1 + _NEAR]) and h < min(hashes[max(0, i - _NEAR) : i]):
+            out.append(i + 2)
+    full = []
+    for at in [*out, len(words)]:
+        while at - last > longest:
+            last += longest
+            full.append(last)
+        if at < len(words):
+            full.append(at)
+            last = at
+    return full
+
+
 def sentences_of(text: str, longest: int) -> tuple[list[str], list[list[str]]]:
     """Pieces that make up the text end to end, and the words of each. Blanks go with what is before."""
     parts: list[str] = []
     words: list[list[str]] = []
     for piece in _PIECES(text):
-        own = piece.split()
+        own = words_of(piece)
         if len(own) > longest:
-            cut = re.findall(r"\s*(?:\S+\s*){1,%d}" % longest, piece)
-            parts += cut
-            words += [c.split() for c in cut]
+            spread = _WORD(piece)
+            spread[0] = piece[: len(piece) - sum(map(len, spread))] + spread[0]
+            edges = [0, *_cuts(own, longest), len(own)]
+            for a, b in zip(edges, edges[1:]):
+                parts.append("".join(spread[a:b]))
+                words.append(own[a:b])
         elif own or not parts:
             parts.append(piece)
             words.append(own)
@@ -125,7 +172,9 @@ def repeated_spans(docs: DataFrame, rules: SpanRules = SpanRules()) -> DataFrame
         .filter(F.col("n") > 1).select("hash", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"))
     )
     other = (F.col("doc_id") != F.col("first_doc")) | (F.col("row") != F.col("first_row"))
-    later = found.join(repeated, "hash").filter(other | F.col("again"))
+    # Most runs are seen once; they are left out before rows meet.
+    often = kept_by_marks(found, "hash", repeated)
+    later = often.join(repeated, "hash").filter(other | F.col("again"))
     return later.groupBy("row").agg(
         F.collect_set(F.struct("a", "b")).alias("spans"), F.nullif(F.min("first_doc"), F.lit(_LAST)).alias("first_doc")
     )

@@ -75,3 +75,30 @@ def test_rows_that_share_an_id_but_not_a_text(spark):
     assert (8, own(1)) in got and (0, "") in got and len(got) == len(rows)
     assert sum(passage in t for t in texts) == 1 and heads == {"First tail.", "Some other head.", ""}
     assert sum(own(2) in t for t in texts) == 1 and sum(own(3) in t for t in texts) == 1
+
+
+def test_long_passage_is_found_at_every_offset(spark, rng):
+    """60 words without any full stop: of the second copy only its edges stay, whatever stands before."""
+    word = lambda: f"w{rng.randrange(5000)}"
+    for mark in ("", "、"):
+        rows, shared = [], {}
+        for offset in range(25):
+            passage = [word() + mark for _ in range(60)]
+            shared[offset] = passage
+            rows += [(2 * offset, " ".join(passage + [word() for _ in range(20)])), (2 * offset + 1, " ".join([word() for _ in range(offset)] + passage + [word() for _ in range(20)]))]
+        got = {r["doc_id"]: r["text"] for r in remove_repeated(docs(spark, rows)).collect()}
+        for offset, passage in shared.items():
+            before, after = rows[2 * offset + 1][1].split(), got[2 * offset + 1].split()
+            assert got[2 * offset] == rows[2 * offset][1]
+            # Nothing but the passage goes, and at least the 12 words of a run do.
+            gone = len(before) - len(after)
+            assert gone >= 12 and before[:offset] == after[:offset] and before[-20:] == after[-20:] and gone <= 60
+
+
+def test_other_full_stops_and_scripts_without_blanks(spark):
+    assert sentences_of("今日は天気。明日も晴れ？そう。", 12)[0] == ["今日は天気。", "明日も晴れ？", "そう。"]
+    assert sentences_of("यह है। वह था। ", 12)[0] == ["यह है। ", "वह था। "]
+    passage = "".join(chr(0x4E00 + i * i * 37 % 5000) for i in range(60))
+    rows = [(1, passage)] + [(1 + k, "".join(chr(0x6F00 + k * 40 + i) for i in range(k)) + passage) for k in range(1, 12)]
+    got = {r["doc_id"]: r["text"] for r in remove_repeated(docs(spark, rows)).collect()}
+    assert got[1] == passage and all(len(got[1 + k]) <= k + 60 - 12 for k in range(1, 12))
