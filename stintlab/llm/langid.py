@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,10 @@ _NAMES = sorted({n for _, n in SCRIPTS})
 _SCRIPT_OF = np.array([_NAMES.index(n) for _, n in SCRIPTS])
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
-# Of longer words the first and last letters stand for the whole.
+# Longer words are cut into pieces of so many letters, and words of several scripts where they change.
 _WORD_LETTERS = 32
+# Letters before a cut that the piece after it carries along for its n-grams, at most.
+_CARRIED = 8
 
 
 @dataclass(frozen=True)
@@ -60,21 +63,56 @@ class LanguageModel:
     rules: LanguageRules = field(default_factory=LanguageRules)
 
 
-def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of words padded with zeros, a mark of 1 before and after each; and lengths."""
-    half = _WORD_LETTERS // 2
-    short = [w if len(w) <= _WORD_LETTERS else w[:half] + w[-half:] for w in words]
-    lengths = np.fromiter(map(len, short), np.int64, len(short))
-    flat = np.frombuffer("".join(short).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    out = np.zeros((len(short), int(lengths.max(initial=0)) + 2), dtype=np.uint64)
-    out[:, 0] = 1
-    inside = np.arange(out.shape[1]) - 1
-    out[(inside >= 0) & (inside < lengths[:, None])] = flat
-    out[np.arange(len(short)), lengths + 1] = 1
-    return out, lengths
+@lru_cache(maxsize=1 << 16)
+def _pieces(word: str) -> tuple[str, ...]:
+    """The word, or its pieces of one script and no more than _WORD_LETTERS letters.
+
+    A piece begins with a sign below "0", which no word has: the number of letters carried along
+    from before the cut, times two, and one if the word goes on, plus one. Then come those letters.
+    """
+    scripts = _SCRIPT_OF[np.searchsorted(_STARTS, np.fromiter(map(ord, word), np.int64, len(word)), side="right") - 1]
+    cuts = [0]
+    for end in [*(np.flatnonzero(np.diff(scripts)) + 1).tolist(), len(word)]:
+        cuts += [*range(cuts[-1] + _WORD_LETTERS, end, _WORD_LETTERS), end]
+    if len(cuts) == 2:
+        return (word,)
+    carried = [min(_CARRIED, a) for a in cuts[:-1]]
+    return tuple(chr(1 + 2 * c + (b < len(word))) + word[a - c : b] for a, b, c in zip(cuts, cuts[1:], carried))
+
+
+def _words_of(text: str) -> list[str]:
+    words = _WORDS(text.lower())
+    if all(w.isascii() and len(w) <= _WORD_LETTERS for w in words):
+        return words
+    return [p for w in words for p in ((w,) if w.isascii() and len(w) <= _WORD_LETTERS else _pieces(w))]
 
 
-def _grams(codes: np.ndarray, lengths: np.ndarray, rules: LanguageRules):
+def _own(word: str) -> str:
+    """The letters of a word or of a piece, without those carried along."""
+    return word if word[0] >= "0" else word[1 + (ord(word[0]) - 1) // 2 :]
+
+
+def _codes(words: list[str], rules: LanguageRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of words, a mark of 1 before and after each, padded with zeros; where they end; and carried letters.
+
+    A piece has no mark where the word was cut; it starts with the carried letters n-grams need.
+    """
+    marked, skip = [], np.zeros(len(words), np.int64)
+    for i, w in enumerate(words):
+        if w[0] >= "0":
+            marked.append(f"\x01{w}\x01")
+            continue
+        carried, on = divmod(ord(w[0]) - 1, 2)
+        skip[i] = min(carried, rules.longest_gram - 1)
+        marked.append(("" if carried else "\x01") + w[1 + carried - skip[i] :] + ("" if on else "\x01"))
+    ends = np.fromiter(map(len, marked), np.int64, len(marked))
+    flat = np.frombuffer("".join(marked).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    out = np.zeros((len(marked), int(ends.max(initial=0))), dtype=np.uint64)
+    out[np.arange(out.shape[1]) < ends[:, None]] = flat
+    return out, ends, skip
+
+
+def _grams(codes: np.ndarray, ends: np.ndarray, skip: np.ndarray, rules: LanguageRules):
     """Buckets of all n-grams of each word: pairs of (buckets, which of them are real)."""
     at = np.arange(codes.shape[1])
     rolling = np.zeros_like(codes)
@@ -84,11 +122,12 @@ def _grams(codes: np.ndarray, lengths: np.ndarray, rules: LanguageRules):
             break
         rolling = (rolling[:, :width] * np.uint64(0x9E3779B97F4A7C15) + codes[:, n - 1 :][:, :width]) * np.uint64(0xD6E8FEB86659FD93)
         mixed = (rolling ^ (rolling >> np.uint64(29))) + np.uint64(n)
-        yield (mixed % np.uint64(rules.buckets)).astype(np.int64), at[:width] + n <= lengths[:, None] + 2
+        # Those within the carried letters belong to the piece before.
+        yield (mixed % np.uint64(rules.buckets)).astype(np.int64), (at[:width] + n <= ends[:, None]) & (at[:width] + n > skip[:, None])
 
 
 def _first_script(words: list[str]) -> np.ndarray:
-    firsts = np.fromiter((ord(w[0]) for w in words), np.int64, len(words))
+    firsts = np.fromiter((ord(_own(w)[0]) for w in words), np.int64, len(words))
     return _SCRIPT_OF[np.searchsorted(_STARTS, firsts, side="right") - 1]
 
 
@@ -127,7 +166,7 @@ def train_languages(docs: DataFrame, labelled: Column, rules: LanguageRules = La
             langs = part.column("lang").to_pylist()
             texts = part.column("text").to_pylist()
             for lang in set(langs):
-                words = [w for l, t in zip(langs, texts) if l == lang for w in _WORDS(t.lower())]
+                words = [w for l, t in zip(langs, texts) if l == lang for w in _words_of(t)]
                 if not words:
                     continue
                 distinct, which = _distinct(words)
@@ -135,9 +174,9 @@ def train_languages(docs: DataFrame, labelled: Column, rules: LanguageRules = La
                 total = totals.setdefault(lang, np.zeros(width))
                 for at in range(0, len(distinct), 50_000):
                     some = distinct[at : at + 50_000]
-                    codes, lengths = _codes(some)
+                    lengths = np.fromiter((len(_own(w)) for w in some), np.int64, len(some))
                     weight = times[at : at + 50_000]
-                    for buckets, real in _grams(codes, lengths, rules):
+                    for buckets, real in _grams(*_codes(some, rules), rules):
                         total += np.bincount(buckets[real], np.broadcast_to(weight[:, None], real.shape)[real], minlength=width)
                     total += np.bincount(rules.buckets + _first_script(some), weight * lengths, minlength=width)
         for lang, total in totals.items():
@@ -163,9 +202,8 @@ def _word_scores(words: list[str], model: LanguageModel) -> tuple[np.ndarray, np
     sizes = np.zeros(len(words), dtype=np.int64)
     for at in range(0, len(words), 50_000):
         some = words[at : at + 50_000]
-        codes, lengths = _codes(some)
         score = out[at : at + 50_000]
-        for buckets, real in _grams(codes, lengths, model.rules):
+        for buckets, real in _grams(*_codes(some, model.rules), model.rules):
             for column in range(buckets.shape[1]):
                 rows = np.flatnonzero(real[:, column])
                 score[rows] += model.scores[buckets[rows, column]]
@@ -173,7 +211,7 @@ def _word_scores(words: list[str], model: LanguageModel) -> tuple[np.ndarray, np
         known = allowed.any(axis=1)
         score[~known] = 0.0
         score[known[:, None] & ~allowed] = -np.inf
-        sizes[at : at + 50_000] = np.fromiter(map(_letters, some), np.int64, len(some))
+        sizes[at : at + 50_000] = np.fromiter((_letters(_own(w)) for w in some), np.int64, len(some))
     return out, sizes
 
 
@@ -217,7 +255,7 @@ def _viterbi(scores: np.ndarray, which: np.ndarray, starts: np.ndarray, penalty:
 
 def label_words(texts: list[str | None], model: LanguageModel) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
     """Words of each text, and for all words in a row: language, letters, and where texts begin."""
-    lists = [_WORDS(t.lower()) if t else [] for t in texts]
+    lists = [_words_of(t) if t else [] for t in texts]
     starts = np.concatenate([[0], np.cumsum([len(w) for w in lists])]).astype(np.int64)
     words = [w for ws in lists for w in ws]
     if not words or not model.languages:

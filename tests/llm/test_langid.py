@@ -75,3 +75,18 @@ def test_awkward_rows_and_empty_tables(spark, model):
     untaught = langid.train_languages(docs(spark, [(1, None, "en"), (2, "x", None)]), F.lit(True))
     assert {r["lang_pred"] for r in langid.predict_languages(table, untaught).collect()} == {"und"}
     assert langid.keep_identified(table, untaught).count() == len(ODD_ROWS)
+
+
+def test_long_runs_are_read_whole(model):
+    """Without blanks: every letter counts, once, and languages and scripts inside a run are found."""
+    en, de, ru = (TAUGHT[x].replace(" ", "") for x in ("en", "de", "ru"))
+    long = en[:16] + de * 10 + en[-16:]
+    spans = langid.language_spans(long, model)
+    assert "de" in {s[0] for s in spans}
+    mass, _ = langid._letters_by_language([long, en + ru], model)
+    assert mass[0].sum() == len(long) and mass[0].argmax() == model.languages.index("de")
+    assert mass[1, model.languages.index("ru")] == len(ru)
+    # The n-grams of the pieces are those of the uncut word.
+    rules = model.rules
+    grams = lambda words: sorted(x for b, real in langid._grams(*langid._codes(words, rules), rules) for x in b[real].tolist())
+    assert grams(list(langid._pieces(long + ru))) == grams([long + ru])
