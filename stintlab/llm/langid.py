@@ -254,7 +254,10 @@ def _viterbi(scores: np.ndarray, which: np.ndarray, starts: np.ndarray, penalty:
 
 
 def label_words(texts: list[str | None], model: LanguageModel) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each text, and for all words in a row: language, letters, and where texts begin."""
+    """Words of each text, and for all words in a row: language, letters, and where texts begin.
+
+    Words in a script no language was learned in are of none: they have the number after the last.
+    """
     lists = [_words_of(t) if t else [] for t in texts]
     starts = np.concatenate([[0], np.cumsum([len(w) for w in lists])]).astype(np.int64)
     words = [w for ws in lists for w in ws]
@@ -262,21 +265,23 @@ def label_words(texts: list[str | None], model: LanguageModel) -> tuple[list[lis
         return lists, np.zeros(len(words), np.int16), np.zeros(len(words), np.int64), starts
     distinct, which = _distinct(words)
     scores, letters = _word_scores(distinct, model)
-    return lists, _viterbi(scores, which, starts, model.rules.switch_penalty), letters[which], starts
+    labels = _viterbi(scores, which, starts, model.rules.switch_penalty)
+    known = model.scripts[_first_script(distinct)].any(axis=1)
+    return lists, np.where(known[which], labels, len(model.languages)), letters[which], starts
 
 
 def language_spans(text: str | None, model: LanguageModel) -> list[tuple[str, int, int]]:
-    """Spans of one text: language, first word, word after the last."""
+    """Spans of one text: language or `und`, first word, word after the last; of cut words each piece counts."""
     _, labels, _, _ = label_words([text], model)
     cuts = np.flatnonzero(np.diff(labels)) + 1
     edges = [0, *cuts.tolist(), len(labels)]
-    return [(model.languages[labels[a]], a, b) for a, b in zip(edges, edges[1:]) if b > a and model.languages]
+    return [([*model.languages, UNKNOWN][labels[a]], a, b) for a, b in zip(edges, edges[1:]) if b > a and model.languages]
 
 
 def _letters_by_language(texts: list[str | None], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """Texts by languages: letters in spans of the language; and the number of spans of each text."""
+    """Texts by languages, and one more for unknown scripts: letters in its spans; and each text's number of spans."""
     _, labels, letters, starts = label_words(texts, model)
-    n, k = len(texts), max(1, len(model.languages))
+    n, k = len(texts), len(model.languages) + 1
     text_of = np.repeat(np.arange(n), np.diff(starts))
     mass = np.bincount(text_of * k + labels, letters, minlength=n * k).reshape(n, k)
     change = (np.diff(labels) != 0) & (np.diff(text_of) == 0) if len(labels) else np.zeros(0, bool)
@@ -290,8 +295,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score, n_spans for every row of docs.
 
     Needs doc_id and text alone. score is the share of letters in spans of the language given;
-    ties go to the first language by name. A null text, one without letters, and every text if no
-    language was learned get `und` and score 0. Repeated rows give repeated rows.
+    ties go to the first language by name. Letters in scripts no language was learned in count for none.
+    A null text, one without letters in a known script, and every text if no language was learned get
+    `und` and score 0. Repeated rows give repeated rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -301,8 +307,8 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         own = shared.value
         for part in column_slices(batches, "text"):
             mass, spans = _letters_by_language(part.column("text").to_pylist(), own)
-            total, lead = mass.sum(axis=1), mass.argmax(axis=1)
-            known = total > 0
+            total, mass = mass.sum(axis=1), np.pad(mass[:, :-1], ((0, 0), (0, not own.languages)))
+            lead, known = mass.argmax(axis=1), mass.sum(axis=1) > 0
             names = [own.languages[i] if ok else UNKNOWN for i, ok in zip(lead, known)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(names, pa.string()),
@@ -316,7 +322,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
     """Rows of docs whose language is known and holds at least `least` of their letters, as they are.
 
-    Needs text; a null text or one without letters goes, other columns may have any names. A model
+    Letters in scripts no language was learned in count among all, but for no language; a text of
+    several learned languages goes too if none holds its share. Needs text; a null text or one without
+    letters goes, other columns may have any names. A model
     that knows no language rejects nothing.
     """
     if not model.languages:
@@ -329,7 +337,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -
         own = shared.value
         for part in column_slices(batches, "text"):
             mass, _ = _letters_by_language(part.column("text").to_pylist(), own)
-            total = mass.sum(axis=1)
-            yield part.filter(pa.array((total > 0) & (mass.max(axis=1) >= least * total)))
+            total, most = mass.sum(axis=1), mass[:, :-1].max(axis=1)
+            yield part.filter(pa.array((most > 0) & (most >= least * total)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -90,3 +90,14 @@ def test_long_runs_are_read_whole(model):
     rules = model.rules
     grams = lambda words: sorted(x for b, real in langid._grams(*langid._codes(words, rules), rules) for x in b[real].tolist())
     assert grams(list(langid._pieces(long + ru))) == grams([long + ru])
+
+
+def test_unlearned_scripts_and_mixed_texts_are_rejected(spark, model):
+    han = "".join(chr(0x4E00 + i) for i in range(70))
+    # About a third of the letters each.
+    mixed = " ".join(" ".join([t] * 3) for t in TAUGHT.values())
+    rows = [(1, han), (2, "fox " + han), (3, TAUGHT["en"] + " " + han[:5]), (4, mixed), (5, TAUGHT["ru"])]
+    table = docs(spark, rows)
+    assert sorted(r["doc_id"] for r in langid.keep_identified(table, model).collect()) == [3, 5]
+    got = {r["doc_id"]: r for r in langid.predict_languages(table, model).collect()}
+    assert (got[1]["lang_pred"], got[1]["score"]) == ("und", 0) and got[2]["score"] < 0.1 and got[3]["lang_pred"] == "en"
