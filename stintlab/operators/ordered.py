@@ -140,6 +140,19 @@ def block_of(rank: str, rows: int) -> Column:
     return F.floor((F.col(rank) - 1) / rows).cast("bigint")
 
 
+def _last_known(value: Column) -> Column:
+    return F.last(value, ignorenulls=True)
+
+
+# Kinds of running value: its aggregate over a frame, and how what is carried joins what is local.
+_KINDS = {
+    "sum": (F.sum, lambda carry, local: F.coalesce(carry + local, carry, local)),
+    "max": (F.max, F.greatest),
+    "xor": (F.bit_xor, lambda carry, local: F.coalesce(carry.bitwiseXOR(local), carry, local)),
+    "last": (_last_known, lambda carry, local: F.coalesce(local, carry)),
+}
+
+
 def blocked_running(
     df: DataFrame,
     keys: list[str],
@@ -147,32 +160,35 @@ def blocked_running(
     values: dict[str, tuple[str, Column]],
     scale: Scale = SCALE,
 ) -> DataFrame:
-    """Running sum or max from the start of the group to the row, block by block."""
-    reduce_with = {"sum": F.sum, "max": F.max}
+    """Running sum, max, xor or last known value from the start of the group to the row, block by block."""
     cut = df.withColumn("_block", block_of(rank, scale.block_rows))
     for name, (_, value) in values.items():
         cut = cut.withColumn("_in_" + name, value)
+
+    def whole_block(name: str, kind: str) -> Column:
+        value = F.col("_in_" + name)
+        if kind != "last":
+            return _KINDS[kind][0](value)
+        # Rows of a block come in any order here, so the rank tells which is last.
+        return F.max(F.when(value.isNotNull(), F.struct(F.col(rank).alias("at"), value.alias("value"))))["value"]
+
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = cut.groupBy(*keys, "_block").agg(
-        *[reduce_with[kind]("_in_" + name).alias("_all_" + name) for name, (kind, _) in values.items()]
+        *[whole_block(name, kind).alias("_all_" + name) for name, (kind, _) in values.items()]
     )
     carried = totals.select(
         *[F.col(k).alias("_total_" + k) for k in keys],
         F.col("_block").alias("_total_block"),
         *[
-            reduce_with[kind]("_all_" + name).over(earlier).alias("_from_" + name)
+            _KINDS[kind][0](F.col("_all_" + name)).over(earlier).alias("_from_" + name)
             for name, (kind, _) in values.items()
         ],
     )
     inside = Window.partitionBy(*keys, "_block").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
     out = cut.join(carried, same_keys(keys, "_total_") & (F.col("_block") == F.col("_total_block")))
     for name, (kind, _) in values.items():
-        local, carry = reduce_with[kind]("_in_" + name).over(inside), F.col("_from_" + name)
-        if kind == "sum":
-            whole = F.coalesce(carry + local, carry, local)
-        else:
-            whole = F.greatest(carry, local)
-        out = out.withColumn(name, whole)
+        reduce, joined = _KINDS[kind]
+        out = out.withColumn(name, joined(F.col("_from_" + name), reduce(F.col("_in_" + name)).over(inside)))
     return out.select(*df.columns, *values)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stintlab.config import Scale
 from stintlab.operators import laps as L
 from stintlab.operators import live
-from stintlab.operators.ordered import ranked, split_hot
+from stintlab.operators.ordered import blocked_running, ranked, split_hot
 from stintlab.operators.slopes import add_degradation_slopes
 from stintlab.operators.weather import attach_weather
 from stintlab.plans import batch, lap_view
@@ -125,3 +125,15 @@ def test_weather_with_low_limits(spark, data, tight):
     columns = KEY + ["air_temp_c", "wind_direction", "rainfall"]
     plain = rows(attach_weather(laps, weather, PLAIN), *columns)
     assert rows(attach_weather(laps, weather, tight), *columns) == plain
+
+
+def test_running_values_in_blocks(spark, tight):
+    """Sum, max, xor and last known value by block equal the plain window, nulls included."""
+    rng = random.Random(9)
+    data = [(g, i + 1, rng.choice([None, None, rng.randrange(100)])) for g in (None, 1) for i in range(60)]
+    table = spark.createDataFrame(data, "g long, at long, v long").repartition(5)
+    kinds = {"sum": F.sum("v"), "max": F.max("v"), "xor": F.bit_xor("v"), "last": F.last("v", ignorenulls=True)}
+    w = Window.partitionBy("g").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    want = table.withColumns({k: agg.over(w) for k, agg in kinds.items()})
+    got = blocked_running(table, ["g"], "at", {k: (k, F.col("v")) for k in kinds}, tight)
+    assert rows(got) == rows(want)
