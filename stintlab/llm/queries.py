@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.llm import decontaminate, jaccard_join, langid, mixing, pii, quality, substring_dedup, token_counts, token_output, topk
+from stintlab.llm import (
+    decontaminate, jaccard_join, langid, mixing, periodic_runs, pii, prefix_trie, quality, sentence_pieces,
+    substring_dedup, token_counts, token_output, topk,
+)
 from stintlab.llm.common import crc_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +97,24 @@ def op1_pii(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_join.similarity_classes(read(spark, d, "documents")).drop("n_links")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    turns = prefix_trie.slim_turns(read(spark, d, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.share_heads(turns))
+
+
+ORACLES["op11_prefix_trie"] = prefix_trie.SQL
+
+
+@query
+def op12_sentence_pieces(spark: SparkSession, d: str) -> DataFrame:
+    model = tokenizer("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode_documents(read(spark, d, "documents"), model)
+    return sentence_pieces.digest(sentence_pieces.decode_documents(encoded, model))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.loop_tails(read(spark, d, "documents"))))

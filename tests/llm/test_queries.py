@@ -16,7 +16,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
 
 
