@@ -295,9 +295,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score, n_spans for every row of docs.
 
     Needs doc_id and text alone. score is the share of letters in spans of the language given;
-    ties go to the first language by name. Letters in scripts no language was learned in count for none.
-    A null text, one without letters in a known script, and every text if no language was learned get
-    `und` and score 0. Repeated rows give repeated rows.
+    ties go to the first language by name. Letters in scripts no language was learned in count for none,
+    so a text of such letters alone gets the first language by name with score 0. A null text, one without
+    letters, and every text if no language was learned get `und` and score 0. Repeated rows give repeated rows.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -308,7 +308,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for part in column_slices(batches, "text"):
             mass, spans = _letters_by_language(part.column("text").to_pylist(), own)
             total, mass = mass.sum(axis=1), np.pad(mass[:, :-1], ((0, 0), (0, not own.languages)))
-            lead, known = mass.argmax(axis=1), mass.sum(axis=1) > 0
+            lead, known = mass.argmax(axis=1), (total > 0) & bool(own.languages)
             names = [own.languages[i] if ok else UNKNOWN for i, ok in zip(lead, known)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(names, pa.string()),

@@ -61,21 +61,23 @@ ORACLES["op8_exact_top_k"] = topk.SQL
 
 @query
 def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """A row without an id is in no fold: it is not learned from and not held out."""
     docs = read(spark, d, "documents")
     fold = crc_fold(F.col("doc_id"), 4)
     model = langid.train_languages(docs, fold != 2)
     held = docs.select("doc_id", "text")
     return langid.predict_languages(held, model).select(
-        "doc_id", (fold == 2).alias("held_out"), "lang_pred", "score", "n_spans"
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_spans"
     )
 
 
 @query
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    """A row without an id is in no fold: it is not learned from and not held out."""
     fold = crc_fold(F.col("doc_id"), 5)
     docs, labels = read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "labels")
     model = quality.train_quality(docs.filter(fold != 0), labels.filter(fold != 0))
-    return quality.score_quality(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+    return quality.score_quality(docs, model).select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 @query

@@ -100,4 +100,26 @@ def test_unlearned_scripts_and_mixed_texts_are_rejected(spark, model):
     table = docs(spark, rows)
     assert sorted(r["doc_id"] for r in langid.keep_identified(table, model).collect()) == [3, 5]
     got = {r["doc_id"]: r for r in langid.predict_languages(table, model).collect()}
-    assert (got[1]["lang_pred"], got[1]["score"]) == ("und", 0) and got[2]["score"] < 0.1 and got[3]["lang_pred"] == "en"
+    assert (got[1]["lang_pred"], got[1]["score"]) == (model.languages[0], 0) and got[2]["score"] < 0.1 and got[3]["lang_pred"] == "en"
+
+
+def test_foreign_scripts_against_a_latin_model(spark):
+    """`und` is for texts without letters alone; the filter goes on rejecting scripts that were not learned."""
+    latin = langid.train_languages(docs(spark, [(i, TAUGHT[x], x) for i, x in enumerate(("en", "de"))]), F.lit(True))
+    rows = [(1, "中文文本没有空格"), (2, TAUGHT["ru"]), (3, "1234 -- 5"), (4, TAUGHT["de"]), (5, "中 fox"), (None, "日本語")]
+    table = docs(spark, rows)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict_languages(table, latin).collect()}
+    assert got[1] == got[2] == got[None] == ("de", 0) and got[3] == ("und", 0)
+    assert got[4][0] == "de" and got[5][0] in ("de", "en") and got[5][1] > 0
+    assert [r["doc_id"] for r in langid.keep_identified(table, latin).collect()] == [4, 5]
+
+
+def test_null_ids_are_in_no_fold(spark, tmp_path):
+    from stintlab.llm import queries
+
+    rows = [(i, TAUGHT[x], x) for i, x in enumerate(("en", "de") * 8)] + [(None, TAUGHT["de"], "de")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2, 0) for i in range(16)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name in ("op10_language_id", "op5_quality"):
+        held = {r["doc_id"]: r["held_out"] for r in queries.QUERIES[name](spark, str(tmp_path)).collect()}
+        assert held[None] is False and None not in held.values() and True in held.values()
