@@ -64,14 +64,25 @@ def in_replay_order(messages: DataFrame) -> DataFrame:
     return messages.orderBy("lap_number", "key")
 
 
+def decode_messages(messages: DataFrame) -> DataFrame:
+    """Message values to event columns, batch or stream; a field of another type is null, as is all of no JSON."""
+    event = F.from_json(F.col("value").cast("string"), struct_of(EVENT_DDL))
+    return messages.select(event.alias("e")).select("e.*")
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Message values to event columns, batch or stream.
+    """Events of messages. Text that is no JSON and events without a driver are dropped."""
+    return decode_messages(messages).filter(F.col("driver_code") != F.lit(""))
+
 
-    Text that is no JSON and events without a driver are dropped; a field of another type is null.
+def heartbeat(spark: SparkSession, event_time: str) -> DataFrame:
+    """A message without a driver: all it tells is that the time of the events has got this far.
+
+    Sent at the end of a race, past the lateness of the monitor, it lets laps go that wait for a missing one.
     """
-    event = F.from_json(F.col("value").cast("string"), struct_of(EVENT_DDL))
-    return (
-        messages.select(event.alias("e")).select("e.*").filter(F.col("driver_code") != F.lit(""))
+    payload = F.to_json(F.struct(F.lit("").alias("driver_code"), F.lit(event_time).alias("event_time")))
+    return spark.range(1).select(
+        F.lit(None).cast("bigint").alias("lap_number"), F.lit("").alias("key"), payload.alias("value")
     )
 
 

@@ -1,174 +1,156 @@
 """The live monitor: a stream of events to driver state, history and alerts.
 
-The run of HIGH laps per driver is operator state inside Spark's checkpoint. Every table gets
-one folder per micro-batch that is overwritten as a whole, so a repeated batch changes nothing.
-Readers take the newest row per driver; fold_state keeps what they have to read small.
+The run of HIGH laps per driver is operator state inside Spark's checkpoint (lap_order). Tables are a
+compacted log (live_log): readers see one version, a repeated batch changes nothing, and what has to be
+read stays small however long the stream runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stintlab.config import RULES, Rules
 from stintlab.operators import live
 from stintlab.schemas import LIVE_KEYS
-from stintlab.sources.replay import parse_messages
-from stintlab.sources.shipping import ship_package
-from stintlab.sources.tables import path_exists
+from stintlab.sources.replay import decode_messages
+from stintlab.streaming.lap_order import timed, track_runs
+from stintlab.streaming.live_log import Fold, LiveLog, Version
 
 _ORDER = "lap_number"
+_METRICS = "rows bigint, alerts bigint, batch_id bigint"
 
 
-def run_lengths(up: np.ndarray, before: int) -> np.ndarray:
-    """Length of the run of True ending at each place, given the run just before the first."""
-    place = np.arange(1, len(up) + 1)
-    last_break = np.maximum.accumulate(np.where(up, -before, place))
-    return np.where(up, place - last_break, 0)
+def deduplicated(events: DataFrame) -> DataFrame:
+    """Optional guard: drop repeats of one lap that arrive within the lateness of `timed` events."""
+    return events.dropDuplicatesWithinWatermark([*LIVE_KEYS, _ORDER])
 
 
-def deduplicated(events: DataFrame, delay: str) -> DataFrame:
-    """Optional guard: drop repeats of one lap that arrive within delay of each other."""
-    timed = events.withColumn("_at", F.col("event_time").try_cast("timestamp"))
-    return (
-        timed.withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark([*LIVE_KEYS, _ORDER])
-        .drop("_at")
-    )
+def _newest(rows: DataFrame) -> DataFrame:
+    fields = [c for c in rows.columns if c not in ("year", "race_round")]
+    first = ["batch_id", _ORDER]
+    rest = [c for c in fields if c not in first]
+    key = F.struct(*first, *rest)
+    best = rows.groupBy(*LIVE_KEYS).agg(F.max(key).alias("_best"))
+    return best.select(
+        "year", "race_round", *[F.col("_best").getField(c).alias(c) for c in fields]
+    ).select(*rows.columns)
 
 
-def track_runs(events: DataFrame, idle: str | None = None) -> DataFrame:
-    """Streaming twin of add_consecutive_high.
+def _last_of_each_race(size: int) -> Fold:
+    """The newest alerts of each race; a merge of such tables is one again."""
+    order = [F.desc(c) for c in ("batch_id", "lap", "driver_code")] + [F.col("reason")]
+    place = F.row_number().over(Window.partitionBy("year", "race_round").orderBy(*order))
 
-    Within a micro-batch the laps of a driver are counted in lap order, across batches in order
-    of arrival. The source bounds a batch, and with it what one driver can bring at a time. With
-    idle set, the state of a driver unseen for that many milliseconds is dropped.
-    """
-    ship_package(events.sparkSession)
-    wait = int(idle) if idle else None
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout
-    up = F.coalesce((F.col("risk_status") == "HIGH") & F.col("clean_lap"), F.lit(False))
-    # Only what the count needs is unpacked for Python; the event itself passes as text.
-    packed = events.select(
-        *LIVE_KEYS, _ORDER, up.alias("up"), F.to_json(F.struct(*events.columns)).alias("event")
-    )
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_place", place).filter(F.col("_place") <= size).drop("_place")
 
-    def count(key, groups: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        batch = pd.concat(list(groups), ignore_index=True)
-        batch = batch.sort_values(_ORDER, kind="stable")
-        before = state.get[0] if state.exists else 0
-        runs = run_lengths(batch["up"].to_numpy(dtype=bool), before)
-        state.update((int(runs[-1]),))
-        if wait:
-            state.setTimeoutDuration(wait)
-        yield pd.DataFrame({"event": batch["event"], "consecutive_high": runs})
-
-    counted = packed.groupBy(*LIVE_KEYS).applyInPandasWithState(
-        count, "event string, consecutive_high bigint", "run bigint", "append", timeout
-    )
-    return counted.select(F.from_json("event", events.schema).alias("e"), "consecutive_high").select(
-        "e.*", "consecutive_high"
-    )
+    return fold
+
+
+def _newest_batch(rows: DataFrame) -> DataFrame:
+    best = rows.agg(F.max(F.struct("batch_id", *[c for c in rows.columns if c != "batch_id"])).alias("_best"))
+    return best.filter("_best IS NOT NULL").select("_best.*").select(*rows.columns)
+
+
+def folds(rules: Rules = RULES) -> dict[str, Fold]:
+    """How the rows of each table combine; each can be applied to its own results again."""
+    return {
+        "state": _newest,
+        "history": lambda rows: rows.distinct(),
+        "alerts": _last_of_each_race(rules.alert_log_size),
+        "race": _newest_batch,
+        "metrics": lambda rows: rows.coalesce(1),
+    }
 
 
 @dataclass(frozen=True)
 class LiveTables:
-    """Where the monitor keeps its tables, and how to read them."""
+    """Where the monitor keeps its tables, and how to read them.
+
+    Every reader takes the newest version; `at` fixes one, so that several tables are read as of one batch.
+    None before the first batch.
+    """
 
     spark: SparkSession
     root: str
+    version: Version | None = None
+    rules: Rules = RULES
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    @property
+    def log(self) -> LiveLog:
+        return LiveLog(self.spark, self.root)
 
-    def put(self, df: DataFrame, table: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path(table)}/batch_id={batch_id}")
+    def at(self) -> LiveTables:
+        return LiveTables(self.spark, self.root, self.log.newest(), self.rules)
 
-    def read(self, table: str) -> DataFrame | None:
-        if not path_exists(self.spark, f"{self.path(table)}/batch_id=*"):
-            return None
-        return self.spark.read.parquet(self.path(table))
+    def _rows(self, table: str) -> DataFrame | None:
+        version = self.version or self.log.newest()
+        rows = None if version is None else self.log.read(table, version)
+        return None if rows is None else folds(self.rules)[table](rows)
 
     def state(self) -> DataFrame | None:
-        """Newest state row per driver and race: the last fold and the batches after it."""
-        rows, folds = self.read("state"), self.read("state_folds")
-        if rows is None:
-            return None
-        if folds is not None:
-            last = folds.agg(F.max("batch_id")).first()[0]
-            later = rows.filter(F.col("batch_id") > last)
-            rows = later.unionByName(folds.filter(F.col("batch_id") == last))
-        return _newest(rows).drop("batch_id")
-
-    def fold_state(self, upto: int) -> None:
-        """Settle the state of all batches up to a finished one, so readers skip their folders."""
-        rows = self.read("state")
-        if rows is not None:
-            settled = _newest(rows.filter(F.col("batch_id") <= upto))
-            self.put(settled.drop("batch_id"), "state_folds", upto)
+        """Newest state row per driver and race."""
+        rows = self._rows("state")
+        return None if rows is None else rows.drop("batch_id")
 
     def history(self) -> DataFrame | None:
-        rows = self.read("history")
-        return None if rows is None else rows.drop("batch_id").distinct()
-
-    def alert_log(self, size: int = RULES.alert_log_size) -> DataFrame | None:
-        rows = self.read("alerts")
+        return self._rows("history")
+
+    def alerts(self) -> DataFrame | None:
+        """The last alerts of each race."""
+        return self._rows("alerts")
+
+    def alert_log(self, size: int | None = None) -> DataFrame | None:
+        """The last alerts of all races."""
+        size = self.rules.alert_log_size if size is None else size
+        if size > self.rules.alert_log_size:
+            raise ValueError(f"only the last {self.rules.alert_log_size} alerts of a race are kept")
+        rows = self._rows("alerts")
         return None if rows is None else live.newest_first(rows, size, ["batch_id"])
 
     def race(self) -> DataFrame | None:
-        rows = self.read("race")
-        return None if rows is None else rows.orderBy(F.desc("batch_id")).limit(1)
+        return self._rows("race")
 
     def metrics(self) -> DataFrame | None:
-        return self.read("metrics")
-
-
-def _newest(rows: DataFrame) -> DataFrame:
-    fields = [c for c in rows.columns if c not in ("year", "race_round")]
-    first = ["batch_id", "lap_number"]
-    rest = [c for c in fields if c not in first]
-    key = F.struct(*first, *rest)
-    best = rows.groupBy(*LIVE_KEYS).agg(F.max(key).alias("_best"))
-    return best.select(
-        "year", "race_round", *[F.col("_best").getField(c).alias(c) for c in fields]
-    )
-
-
-# Every so many batches the state is settled anew.
-_FOLD_EVERY = 50
+        return self._rows("metrics")
 
 
 def write_batch(
     batch: DataFrame, batch_id: int, tables: LiveTables, rules: Rules = RULES, now: Column | None = None
 ) -> None:
-    """Sinks of one micro-batch; an empty one does nothing. now is the time of the update."""
+    """Sinks of one micro-batch; an empty one, or one committed before, does nothing. now is the time of the update.
+
+    The rows and alerts of the batch are counted while they are written.
+    """
+    log = tables.log
+    if log.has(batch_id):
+        return
+    spark, written = batch.sparkSession, {}
+    now = F.current_timestamp() if now is None else now
+
+    def put(df: DataFrame, table: str) -> None:
+        written[table] = (log.put(df, table, batch_id), df._jdf.schema().toDDL())
+
+    rows, alerts = Observation(), Observation()
     batch = batch.persist()
     try:
-        if batch.isEmpty():
+        put(live.history(batch.observe(rows, F.count(F.lit(1)).alias("n"))), "history")
+        if not rows.get["n"]:
             return
-        now = F.current_timestamp() if now is None else now
+        number = F.lit(batch_id).cast("bigint")
         state = live.driver_state(batch).withColumn("timestamp", now)
-        tables.put(state, "state", batch_id)
-        tables.put(live.history(batch), "history", batch_id)
-        alert_rows = live.alerts(batch, rules)
-        tables.put(alert_rows.withColumn("timestamp", now), "alerts", batch_id)
-        tables.put(live.race_pointer(batch).withColumn("updated_at", now), "race", batch_id)
-        counts = batch.agg(F.count("*").alias("rows")).withColumn(
-            "alerts", alert_rows.agg(F.count("*")).scalar()
-        )
-        tables.put(counts, "metrics", batch_id)
-        if batch_id and batch_id % _FOLD_EVERY == 0:
-            tables.fold_state(batch_id - 1)
+        put(state.withColumn("batch_id", number), "state")
+        alert_rows = live.alerts(batch, rules).withColumns({"timestamp": now, "batch_id": number})
+        counted = alert_rows.observe(alerts, F.count(F.lit(1)).alias("n"))
+        put(_last_of_each_race(rules.alert_log_size)(counted), "alerts")
+        put(live.race_pointer(batch).withColumns({"updated_at": now, "batch_id": number}), "race")
+        facts = [(rows.get["n"], alerts.get["n"], batch_id)]
+        put(spark.createDataFrame(facts, _METRICS).coalesce(1), "metrics")
+        log.commit(batch_id, written, folds(rules))
     finally:
         batch.unpersist()
 
@@ -182,11 +164,17 @@ def start_monitor(
     dedup_delay: str | None = None,
     idle: str | None = None,
     now: Column | None = None,
+    lateness: str = "30 minutes",
 ) -> StreamingQuery:
-    """Start the monitor on any stream of messages; drain stops once the input is used up."""
-    events = parse_messages(messages)
+    """Start the monitor on any stream of messages; drain stops once the input is used up.
+
+    Laps that arrive out of order within lateness (of event time) are counted in lap order; what waits for
+    a missing lap when the input ends stays in the checkpoint until the watermark moves on, by later events
+    or by a heartbeat. dedup_delay, if given, is the lateness and turns the duplicate guard on.
+    """
+    events = timed(decode_messages(messages), dedup_delay or lateness)
     if dedup_delay:
-        events = deduplicated(events, dedup_delay)
+        events = deduplicated(events)
     counted = track_runs(events, idle)
     writer = (
         counted.writeStream.outputMode("append")

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from stintlab.operators import live
 from stintlab.sources import replay
-from stintlab.streaming.monitor import LiveTables, run_lengths, start_monitor
+from stintlab.streaming.lap_order import run_lengths
+from stintlab.streaming.live_log import FAN
+from stintlab.streaming.monitor import LiveTables, start_monitor, write_batch
 from tests.conftest import rows
 
 EVENT = (
@@ -30,11 +32,14 @@ class Feed:
         self.spark, self.root = spark, str(root)
         self.tables = LiveTables(spark, f"{self.root}/tables")
 
-    def send(self, events):
+    def send(self, events, event_time="2024-03-02T15:00:00+00:00"):
         df = self.spark.createDataFrame(events, EVENT).coalesce(1)
-        sent = replay.replay_messages(df, event_time="2024-03-02T15:00:00+00:00")
+        sent = replay.replay_messages(df, event_time=event_time)
         sent.write.mode("append").parquet(f"{self.root}/in")
 
+    def beat(self, at):
+        replay.heartbeat(self.spark, at).coalesce(1).write.mode("append").parquet(f"{self.root}/in")
+
     def drain(self, **options):
         source = replay.file_source(self.spark, f"{self.root}/in")
         run = start_monitor(
@@ -123,8 +128,6 @@ def test_history_keeps_changed_records_only_once(feed):
 
 
 def test_repeated_batch_changes_nothing(spark, feed):
-    from stintlab.streaming.monitor import write_batch
-
     batch = spark.createDataFrame([(*event("A", n), n) for n in (1, 2)], EVENT + ", consecutive_high long")
     for _ in range(2):
         write_batch(batch, 0, feed.tables)
@@ -134,16 +137,133 @@ def test_repeated_batch_changes_nothing(spark, feed):
     assert feed.tables.metrics().count() == 1
 
 
-def test_folded_state_reads_the_same(feed):
-    for lap in (1, 2, 3):
-        feed.send([event("A", lap), event(f"B{lap}", lap)])
-        feed.drain()
-    before = rows(feed.tables.state())
-    feed.tables.fold_state(1)
-    assert rows(feed.tables.state()) == before
-    feed.tables.fold_state(2)
-    assert rows(feed.tables.state()) == before
-    assert feed.run_of("A") == (3, 3)
+def test_merged_tables_read_the_same(spark, feed):
+    """Folders grow with the logarithm of the batches, and every table reads as without merging."""
+    whole = []
+    for n in range(9):
+        lap = [(*event(d, n + 1, odd=n % 3 == 0, high=False), 0) for d in ("A", f"B{n % 5}")]
+        whole += lap
+        write_batch(spark.createDataFrame(lap, EVENT + ", consecutive_high long"), n, feed.tables)
+    df = spark.createDataFrame(whole, EVENT + ", consecutive_high long")
+    for got, want in (
+        (feed.tables.state(), live.driver_state(df)), (feed.tables.history(), live.history(df)),
+        (feed.tables.alert_log(), live.alert_log(live.alerts(df))), (feed.tables.race(), live.race_pointer(df)),
+    ):
+        assert rows(got, *want.columns) == rows(want)
+    assert sorted(r["batch_id"] for r in feed.tables.metrics().collect()) == list(range(9))
+    version = feed.tables.log.newest()
+    for table in ("state", "history", "alerts", "race", "metrics"):
+        assert len(version.folders(table)) == 3  # 9 is 21 in base 4: two folders of 4 and one of 1
+        assert len(feed.tables.log._names(table)) <= 3 + FAN + 1
+
+
+def test_readers_see_one_version(spark, feed):
+    def put(n):
+        batch = spark.createDataFrame([(*event("A", n + 1), 1)], EVENT + ", consecutive_high long")
+        write_batch(batch, n, feed.tables)
+
+    put(0)
+    seen = feed.tables.at()
+    put(1)
+    assert (seen.state().first().lap_number, seen.history().count()) == (1, 1)
+    assert (feed.tables.state().first().lap_number, feed.tables.history().count()) == (2, 2)
+
+
+def test_a_batch_that_failed_half_way_leaves_nothing(spark, feed, monkeypatch):
+    batch = spark.createDataFrame([(*event("A", 1), 1)], EVENT + ", consecutive_high long")
+
+    def broken(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as m:
+        m.setattr(live, "race_pointer", broken)
+        with pytest.raises(OSError):
+            write_batch(batch, 0, feed.tables)
+    assert feed.tables.history() is None
+    write_batch(batch, 0, feed.tables)
+    assert feed.tables.history().count() == 1 and len(feed.tables.log._names("history")) == 1
+
+
+def test_alerts_kept_are_bounded_per_race(spark, tmp_path):
+    from dataclasses import replace
+
+    from stintlab.config import RULES
+
+    rules = replace(RULES, alert_log_size=3)
+    tables = LiveTables(spark, str(tmp_path), rules=rules)
+    for n in range(5):
+        batch = spark.createDataFrame(
+            [(*event(d, n + 1, risk=0.9), 5) for d in ("A", "B")], EVENT + ", consecutive_high long")
+        write_batch(batch, n, tables, rules)
+    assert [(r.lap, r.driver_code) for r in tables.alert_log().collect()] == [(5, "B"), (5, "A"), (4, "B")]
+    stored = tables.log.read("alerts", tables.log.newest())
+    assert stored.count() <= 3 * len(tables.log.newest().folders("alerts"))
+    assert tables.metrics().agg(F.sum("alerts")).first()[0] == 10
+    with pytest.raises(ValueError):
+        tables.alert_log(4)
+
+
+def test_shuffled_laps_over_many_batches_and_restarts(spark, feed, rng_laps):
+    """Laps in any order over many small batches give the counters of the batch form."""
+    events, order = rng_laps
+    for part in order:
+        feed.send([events[i] for i in part])
+        feed.drain()  # each drain is a restart from the checkpoint
+    whole = live.add_consecutive_high(spark.createDataFrame(events, EVENT))
+    want = live.driver_state(whole)
+    assert rows(feed.tables.state(), *want.columns) == rows(want)
+    want = live.alerts(whole)
+    assert rows(feed.tables.alert_log(), *want.columns) == rows(want)
+    assert feed.tables.history().count() == len(events)
+
+
+@pytest.fixture
+def rng_laps():
+    import random
+
+    rng = random.Random(4)
+    events = [
+        event(d, lap, high=rng.random() < 0.7, clean=rng.random() < 0.9, odd=lap % 7 == 0)
+        for d in ("A", "B", "C") for lap in range(1, 25)
+    ]
+    order = list(range(len(events)))
+    rng.shuffle(order)
+    return events, [order[i : i + 15] for i in range(0, len(order), 15)]
+
+
+def test_a_gap_waits_for_the_watermark(feed):
+    at = "2024-03-02T15:{:02d}:00+00:00".format
+    feed.send([event("A", 1), event("A", 2)], at(0))
+    feed.drain(lateness="10 minutes")
+    feed.send([event("A", 4), event("A", 5)], at(1))
+    feed.drain(lateness="10 minutes")
+    assert feed.run_of("A") == (2, 2)  # lap 3 may still come
+    feed.send([event("B", 1)], at(30))
+    feed.drain(lateness="10 minutes")
+    assert feed.run_of("A") == (5, 4)  # given up: the laps after it count on
+    feed.send([event("A", 3, high=False)], at(31))
+    feed.drain(lateness="10 minutes")
+    assert feed.tables.history().filter("driver_code = 'A'").count() == 5  # late, but not lost
+
+
+def test_a_heartbeat_lets_waiting_laps_go(feed):
+    feed.send([event("A", 3), event("A", 4)])
+    feed.drain()
+    assert feed.tables.state() is None
+    feed.beat("2024-03-02T16:00:00+00:00")
+    feed.drain()
+    assert feed.run_of("A") == (4, 2)
+
+
+def test_idle_drivers_are_forgotten(feed):
+    at = "2024-03-02T{:02d}:00:00+00:00".format
+    feed.send([event("A", 1), event("A", 2)], at(10))
+    feed.drain(idle="60000")
+    feed.send([event("B", 1)], at(12))
+    feed.drain(idle="60000")
+    feed.send([event("A", 1)], at(12))
+    feed.drain(idle="60000")
+    assert [r.consecutive_high for r in feed.tables.state().filter("driver_code = 'A'").collect()] == [1]
 
 
 def test_optional_duplicate_guard(feed):
