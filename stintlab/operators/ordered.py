@@ -77,6 +77,18 @@ def per_group(
     return plain(ordinary).unionByName(blocked(hot))
 
 
+def laid_by_driver(df: DataFrame, scale: Scale = SCALE, counted: DataFrame | None = None) -> DataFrame:
+    """Rows shuffled once, so that all of a driver's race is in one partition, where no race is oversized.
+
+    Windows and aggregates by stint and by driver then need no further shuffle, as hash partitioning on
+    some of their keys is enough for them. Where a race is oversized, rows stay and each window lays
+    them out by its own, finer keys.
+    """
+    if hot_groups(df if counted is None else counted, LIVE_KEYS, scale) is None:
+        return df.repartition(*LIVE_KEYS)
+    return df
+
+
 def per_stint(
     df: DataFrame,
     plain: Callable[[DataFrame], DataFrame],
@@ -159,8 +171,12 @@ def blocked_running(
     rank: str,
     values: dict[str, tuple[str, Column]],
     scale: Scale = SCALE,
+    upto: int = 0,
 ) -> DataFrame:
-    """Running sum, max, xor or last known value from the start of the group to the row, block by block."""
+    """Running sum, max, xor or last known value from the start of the group, block by block.
+
+    It runs to the row itself, or with upto=-1 to the one before.
+    """
     cut = df.withColumn("_block", block_of(rank, scale.block_rows))
     for name, (_, value) in values.items():
         cut = cut.withColumn("_in_" + name, value)
@@ -184,7 +200,7 @@ def blocked_running(
             for name, (kind, _) in values.items()
         ],
     )
-    inside = Window.partitionBy(*keys, "_block").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_block").orderBy(rank).rowsBetween(Window.unboundedPreceding, upto)
     out = cut.join(carried, same_keys(keys, "_total_") & (F.col("_block") == F.col("_total_block")))
     for name, (kind, _) in values.items():
         reduce, joined = _KINDS[kind]

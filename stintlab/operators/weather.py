@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from stintlab.config import SCALE, Scale
 from stintlab.operators.joins import all_of, sized
+from stintlab.operators.ordered import blocked_running, per_group, spread_rank
 from stintlab.schemas import WEATHER_DDL, WEATHER_NAMES, names_of, struct_of
-from stintlab.sources.tables import source_bytes
+from stintlab.sources.tables import source_bytes, stage
 
 SESSION = ["year", "race_round"]
 MEASURES = names_of(WEATHER_DDL)
@@ -30,8 +31,8 @@ def project_weather(raw: DataFrame, keys: list[str] = SESSION, time: str = "t_se
     measures = []
     for source, target in WEATHER_NAMES.items():
         value = F.col(source) if source in raw.columns else F.lit(None)
-        measures.append(value.cast(types[target]).alias(target))
-    return raw.select(*keys, F.col(time).cast("double").alias("t_sec"), *measures)
+        measures.append(value.try_cast(types[target]).alias(target))
+    return raw.select(*keys, F.col(time).try_cast("double").alias("t_sec"), *measures)
 
 
 def without_weather(laps: DataFrame) -> DataFrame:
@@ -50,7 +51,29 @@ def bucket_width(samples: DataFrame, scale: Scale) -> float:
     return _BUCKET_SECONDS / 2 ** math.ceil(math.log2(max(1, densest / _SAMPLES_PER_BUCKET)))
 
 
-def weather_spans(laps: DataFrame, samples: DataFrame, width: float) -> DataFrame:
+def _carry_plain(buckets: DataFrame) -> DataFrame:
+    before = Window.partitionBy(*SESSION).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return buckets.withColumn("measures", F.last("newest", ignorenulls=True).over(before))
+
+
+def _carry_blocked(buckets: DataFrame, scale: Scale) -> DataFrame:
+    placed = spread_rank(buckets, SESSION, ["bucket"], "_place", scale)
+    newest = {"measures": ("last", F.col("newest"))}
+    return blocked_running(placed, SESSION, "_place", newest, scale, upto=-1).drop("_place")
+
+
+def carried_measures(buckets: DataFrame, scale: Scale = SCALE) -> DataFrame:
+    """The last sample of a session before each of its buckets.
+
+    A session with very many buckets is cut into blocks that take over one sample each, so no task
+    has to see all of it.
+    """
+    if source_bytes(buckets) > scale.small_bytes:
+        buckets = stage(buckets)
+    return per_group(buckets, SESSION, _carry_plain, lambda hot: _carry_blocked(hot, scale), scale)
+
+
+def weather_spans(laps: DataFrame, samples: DataFrame, width: float, scale: Scale = SCALE) -> DataFrame:
     """Each sample with the time range it is current for, cut at bucket borders.
 
     Buckets are those that hold a sample or a lap. A bucket starts with the last sample of the
@@ -61,7 +84,6 @@ def weather_spans(laps: DataFrame, samples: DataFrame, width: float) -> DataFram
     wanted = laps.select(*SESSION, F.floor(F.col("lap_start_time_sec") / width).alias("bucket"))
     wanted = wanted.filter(F.col("bucket").isNotNull()).distinct()
     empty = F.lit(None)
-    in_order = Window.partitionBy(*SESSION).orderBy("bucket")
     buckets = (
         points.unionByName(
             wanted.withColumns(
@@ -74,14 +96,12 @@ def weather_spans(laps: DataFrame, samples: DataFrame, width: float) -> DataFram
         .groupBy(*SESSION, "bucket")
         .agg(F.max_by("measures", "t_sec").alias("newest"), F.min("t_sec").alias("first_sec"))
     )
-    carried = buckets.select(
+    carried = carried_measures(buckets, scale).select(
         *SESSION,
         "bucket",
         F.lit(float("-inf")).alias("from_sec"),
         F.coalesce(F.col("first_sec"), F.lit(float("inf"))).alias("to_sec"),
-        F.last("newest", ignorenulls=True)
-        .over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("measures"),
+        "measures",
     ).filter(F.col("measures").isNotNull())
     next_sec = F.lead("t_sec").over(Window.partitionBy(*SESSION, "bucket").orderBy("t_sec"))
     own = points.select(
@@ -107,7 +127,7 @@ def attach_weather(laps: DataFrame, weather: DataFrame, scale: Scale = SCALE) ->
         .agg(F.max(F.struct(*MEASURES)).alias("measures"))
     )
     width = bucket_width(samples.select(*SESSION, "t_sec"), scale)
-    spans = sized(weather_spans(laps, samples, width), scale).select(
+    spans = sized(weather_spans(laps, samples, width, scale), scale).select(
         *[F.col(k).alias("_w_" + k) for k in SESSION],
         F.col("bucket").alias("_w_bucket"),
         F.col("from_sec").alias("_w_from"),

@@ -13,7 +13,7 @@ from stintlab.operators import forest as M
 from stintlab.operators import laps as L
 from stintlab.operators import slopes as S
 from stintlab.operators.joins import lookup
-from stintlab.operators.ordered import per_stint
+from stintlab.operators.ordered import laid_by_driver, per_stint
 from stintlab.operators.risk import add_risk_score
 from stintlab.schemas import FIELD_KEYS
 from stintlab.sources.laps import resolve_laps
@@ -24,10 +24,13 @@ log = logging.getLogger("stintlab")
 
 
 def stint_table(laps: DataFrame, rules: Rules = RULES, scale: Scale = SCALE) -> DataFrame:
-    """All row-local and stint-window columns, slopes included, behind one stint shuffle."""
+    """All row-local and stint-window columns, slopes included, behind one shuffle by driver.
+
+    The run counter and the live state, which go by driver, find their rows in place too.
+    """
     flagged = L.add_tyre_age_bucket(L.add_clean_lap(laps, rules), rules)
     return per_stint(
-        flagged,
+        laid_by_driver(flagged, scale, counted=laps),
         lambda part: S.slopes_plain(L.stint_windows_plain(part)),
         lambda part: S.slopes_blocked(L.stint_windows_blocked(part, scale), scale),
         scale,
@@ -55,7 +58,7 @@ def score_laps(laps: DataFrame, rules: Rules = RULES, scale: Scale = SCALE) -> S
 
 def score_features(features: DataFrame, rules: Rules = RULES, scale: Scale = SCALE) -> Scored:
     """The same from a stored lap-feature table, which already holds the field median."""
-    table = S.add_degradation_slopes(features, scale)
+    table = S.add_degradation_slopes(laid_by_driver(features, scale), scale)
     base, field = B.lap_statistics(table)
     field = field.drop("field_median_lap_time")
     events = B.versus_field(lookup(table, field, FIELD_KEYS, scale=scale))

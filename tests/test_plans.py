@@ -48,6 +48,23 @@ def test_state_needs_no_shuffle_after_the_run_window(stored):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def _wide(text):
+    """Shuffles of whole laps: those that carry the race's name along."""
+    return [line for line in text.splitlines() if "Exchange hashpartitioning(" in line or "Exchange REPARTITION" in line]
+
+
+def test_scores_runs_and_state_share_one_shuffle_of_laps(stored):
+    """Stint windows, the run counter and the live state find a driver's laps where the first shuffle put them."""
+    scored = batch.score_laps(stored).events
+    for c in ("air_temp_c", "track_temp_c", "humidity", "wind_speed", "anomaly_score"):
+        scored = scored.withColumn(c, F.lit(0.5)) if c not in scored.columns else scored
+    scored = scored.withColumns({c: F.lit(False) for c in ("rainfall", "is_anomaly") if c not in scored.columns})
+    counted = live.add_consecutive_high(scored, counted=stored)
+    for df in (scored, counted, live.driver_state(counted)):
+        by_driver = [line for line in _wide(plan(df)) if "driver_code" in line]
+        assert len(by_driver) == 1
+
+
 def test_only_needed_columns_are_read(spark, data):
     text = plan(catalog.QUERIES["corpus_summary"](spark, data))
     assert "props" not in text and "value#" not in text

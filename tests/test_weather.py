@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from stintlab.operators.weather import attach_weather, project_weather, without_weather
 
 MEASURES = (
@@ -56,3 +58,35 @@ def test_project_and_missing_weather(spark):
     types = dict(without_weather(laps(spark, [(1, 1.0)])).dtypes)
     assert types["rainfall"] == "boolean" and types["air_temp_c"] == "double"
     assert dict(project_weather(raw).dtypes)["humidity"] == "double"
+
+
+def test_one_session_holding_all_rows_is_carried_in_blocks(spark, tight):
+    """Sparse samples over thousands of buckets of one session, against a search in sorted order."""
+    import bisect
+    import random
+
+    rng = random.Random(2)
+    samples = sorted({round(rng.uniform(0, 200_000), 1) for _ in range(90)})
+    starts = [rng.uniform(-500, 220_000) for _ in range(900)]
+    points = weather(spark, [(1, t, float(i)) for i, t in enumerate(samples)])
+    table = laps(spark, [(1, t) for t in starts]).repartition(5)
+    got = {r.id: r.air_temp_c for r in attach_weather(table, points, tight).collect()}
+    for i, t in enumerate(starts):
+        place = bisect.bisect_right(samples, t) - 1
+        assert got[i] == (None if place < 0 else float(place))
+
+
+def test_large_sessions_meet_in_no_window(spark, tight):
+    from stintlab.operators.weather import carried_measures
+
+    buckets = spark.range(0, 400, 1, 4).select(
+        F.lit(2024).alias("year"), F.lit(1).alias("race_round"), F.col("id").alias("bucket"),
+        F.when(F.col("id") % 37 == 5, F.struct(F.col("id").alias("v"))).alias("newest"),
+    )
+    out = carried_measures(buckets, tight)
+    got = {r.bucket: r.measures and r.measures.v for r in out.collect()}
+    assert got == {b: max((v for v in range(5, b, 37)), default=None) for b in range(400)}
+    # Buckets are in windows per block, apart from the one row per block that is carried.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    over_buckets = [line for line in plan.splitlines() if "Window [" in line and "_in_measures" in line]
+    assert over_buckets and all("_block" in line for line in over_buckets)
