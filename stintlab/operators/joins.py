@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from stintlab.config import SCALE, Scale
-from stintlab.sources.tables import stage
+from stintlab.sources.tables import stage_counted
 
 
 def all_of(conditions: list[Column]) -> Column:
@@ -19,19 +19,18 @@ def all_of(conditions: list[Column]) -> Column:
 def sized(table: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Write a lookup table and mark it for broadcast if it was measured to be small.
 
-    Rows and the bytes of their values are counted on the written table itself, not its compressed
-    files. Past the limits it is returned unmarked: the join shuffles, and AQE splits skewed
-    partitions of the other side.
+    Rows and the bytes of their values, not of compressed files, are counted in the pass that writes.
+    Past the limits it is returned unmarked: the join shuffles, and AQE splits skewed partitions.
     """
-    table = stage(table)
-    texts = [f.name for f in table.schema if f.dataType.typeName() in ("string", "binary")]
     lengths = F.lit(0)
-    for name in texts:
-        lengths = lengths + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, text_bytes = table.agg(F.count("*"), F.coalesce(F.sum(lengths), F.lit(0))).first()
+    for f in table.schema:
+        if f.dataType.typeName() in ("string", "binary"):
+            lengths = lengths + F.coalesce(F.octet_length(f.name), F.lit(0))
+    table, facts = stage_counted(table, rows=F.count(F.lit(1)), text=F.sum(lengths.cast("bigint")))
     # Numbers take eight bytes at most; structs are counted by their leaves.
     width = 16 + 8 * sum(_leaves(f.dataType) for f in table.schema)
-    if rows <= scale.broadcast_rows and text_bytes + rows * width <= scale.broadcast_bytes:
+    rows, text = facts["rows"], facts["text"] or 0
+    if rows <= scale.broadcast_rows and text + rows * width <= scale.broadcast_bytes:
         return F.broadcast(table)
     return table
 

@@ -16,6 +16,7 @@ from stintlab.operators.ordered import (
     per_stint,
     spread_rank,
 )
+from stintlab.operators.quantiles import group_medians
 from stintlab.schemas import FIELD_KEYS, LAP_ORDER, RAW_COLUMNS, STINT_KEYS, require
 
 
@@ -137,10 +138,10 @@ def add_stint_windows(df: DataFrame, scale: Scale = SCALE) -> DataFrame:
 
 
 def field_medians(df: DataFrame) -> DataFrame:
-    """Median clean lap time of the field on each race lap; partial sketches merge map-side."""
-    return df.groupBy(*FIELD_KEYS).agg(
-        F.percentile_approx(C.clean_only("lap_time_sec"), 0.5).alias("field_median_lap_time")
-    )
+    """Median clean lap time of the field on each race lap, exact for a field of any size."""
+    times = df.select(*FIELD_KEYS, C.clean_only("lap_time_sec").alias("clean_time"))
+    found = group_medians(times, [FIELD_KEYS], {"field_median_lap_time": "clean_time"}, [])
+    return found.select(*FIELD_KEYS, "field_median_lap_time")
 
 
 def add_field_median(df: DataFrame, scale: Scale = SCALE) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,10 +35,41 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, **facts: Column) -> tuple[DataFrame, dict]:
+    """stage, and aggregates over the rows, taken while they are written: no job of their own."""
+    seen = Observation()
+    table = stage(df.observe(seen, *[value.alias(name) for name, value in facts.items()]))
+    return table, seen.get
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it names, if it is there."""
+    fs, where = _place(spark, path)
+    fs.delete(where, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a finished folder its final name; what had the name before goes."""
+    fs, to = _place(spark, target)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{to.getParent().toString()}/.old-{uuid.uuid4().hex}")
+    fs.mkdirs(to.getParent())
+    replaced = fs.exists(to) and fs.rename(to, old)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
+        if replaced:
+            fs.rename(old, to)
+        raise OSError(f"cannot publish {target}")
+    if replaced:
+        fs.delete(old, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Remove what stage wrote in this application, once no result of it is needed any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(staged_dir(spark))
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    remove(spark, staged_dir(spark))
 
 
 def source_bytes(df: DataFrame) -> int:
