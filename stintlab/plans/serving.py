@@ -45,30 +45,22 @@ def run_report(spark: SparkSession, name: str) -> DataFrame:
 _READ_NODES = {
     "Aggregate", "AsOfJoin", "Deduplicate", "Distinct", "Except", "Expand", "Filter", "Generate",
     "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset",
-    "OneRowRelation", "OneRowRelation$", "Pivot", "Project", "RepartitionByExpression", "Sample",
+    "OneRowRelation", "OneRowRelation$", "PipeOperator", "Pivot", "Project", "RepartitionByExpression", "Sample",
     "Sort", "SubqueryAlias", "Tail", "Union", "UnresolvedHaving", "UnresolvedHint",
     "UnresolvedInlineTable", "UnresolvedRelation", "UnresolvedSubqueryColumnAliases",
     "UnresolvedTVFAliases", "UnresolvedWith", "Unpivot", "WithWindowDefinition",
 }
-_TABLE_FUNCTIONS = {"range", "explode"}
-# Functions a query may call. Whatever is not named here is refused.
-_FUNCTIONS = set(
-    """
-    abs any any_value approx_count_distinct array array_agg array_contains array_distinct array_max array_min
-    array_position array_size array_sort arrays_zip avg between bool_and bool_or bround cardinality cast ceil ceiling char_length
-    coalesce collect_list collect_set concat concat_ws contains corr count count_if covar_pop covar_samp cume_dist
-    date_add date_diff date_format date_sub date_trunc datediff day dense_rank element_at endswith equal_null every exp
-    explode filter first first_value floor format_number greatest hour if ifnull ilike initcap instr isnan isnotnull isnull lag
-    last last_value lead least left length like ln locate log log10 log2 lower lpad ltrim map map_keys map_values max
-    max_by mean median min min_by minute mod mode month named_struct negative nth_value ntile nullif nullifzero nvl nvl2
-    percent_rank percentile percentile_approx percentile_cont percentile_disc pmod posexplode position pow power quarter rank regexp_count
-    regexp_extract regexp_like regexp_replace regr_count regr_intercept regr_r2 regr_slope repeat replace reverse right
-    rint rlike round row_number rpad rtrim second sequence sign size skewness slice some sort_array split sqrt startswith
-    std stddev stddev_pop stddev_samp struct substr substring sum to_date to_timestamp transform trim try_add try_avg
-    try_cast try_divide try_multiply try_subtract try_sum typeof upper var_pop var_samp variance weekday width_bucket when year
-    zeroifnull
-    """.split()
+_TABLE_FUNCTIONS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack"}
+# What the registry says of functions that must not be called: code of others, files and paths, and the
+# inside of the running application.
+_FOREIGN_CLASSES = (
+    "CallMethodViaReflection", "TryReflect", "JavaMethod", "InputFileName", "InputFileBlockStart", "InputFileBlockLength",
+    "Protobuf", "Avro", "UDF", "Udf", "UserDefined",
 )
+# The group of functions that show or steer the application; this one does neither.
+_INNER_GROUP, _PLAIN_INNER = "misc_funcs", {"typeof"}
+# Rows a query may make up by itself, and bytes of pairs it may form without an equality.
+_MOST_MADE_UP, _MOST_PAIRS = 100_000_000, 1 << 46
 # What an analysed plan may end in, apart from the views themselves.
 _LEAVES = {"OneRowRelation", "OneRowRelation$", "LocalRelation", "Range", "CTERelationRef", "UnionLoopRef"}
 _FOREIGN_CODE = ("Reflect", "UDF", "UserDefined", "Udf")
@@ -86,7 +78,20 @@ def _kind(node) -> str:
     return node.getClass().getSimpleName()
 
 
-def _walk(plan, views: set[str]) -> None:
+def _may_be_called(spark: SparkSession, name: str) -> bool:
+    """Whether the registry knows a function as one of Spark's own that neither calls other code nor looks inside."""
+    made = spark._jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(name.lower())
+    state = spark._jsparkSession.sessionState()
+    found = state.functionRegistry().lookupFunction(made)
+    if found.isEmpty():
+        return False
+    info = found.get()
+    if info.getSource() != "built-in" or any(x in info.getClassName() for x in _FOREIGN_CLASSES):
+        return False
+    return info.getGroup() != _INNER_GROUP or name.lower() in _PLAIN_INNER
+
+
+def _walk(spark: SparkSession, plan, views: set[str]) -> None:
     kind = _kind(plan)
     if kind == "UnresolvedTableValuedFunction":
         if _items(plan.name())[-1].lower() not in _TABLE_FUNCTIONS:
@@ -97,34 +102,34 @@ def _walk(plan, views: set[str]) -> None:
         # A name counts as a view after its own query, which may only use it if it is recursive.
         for name, relation in map(_items_of_pair, _items(plan.cteRelations())):
             within = views | {name.lower()} if plan.allowRecursion() else views
-            _walk(relation, within)
+            _walk(spark, relation, within)
             views = views | {name.lower()}
     if kind == "UnresolvedRelation":
         parts = _items(plan.multipartIdentifier())
         if len(parts) != 1 or parts[0].lower() not in views:
             raise RefusedQuery(f"unknown table: {'.'.join(parts)}")
     for expression in _items(plan.expressions().toSeq()):
-        _walk_expression(expression, views)
+        _walk_expression(spark, expression, views)
     for child in _items(plan.children().toSeq()):
-        _walk(child, views)
+        _walk(spark, child, views)
 
 
 def _items_of_pair(pair) -> tuple[str, object]:
     return pair.productElement(0), pair.productElement(1)
 
 
-def _walk_expression(expression, views: set[str]) -> None:
+def _walk_expression(spark: SparkSession, expression, views: set[str]) -> None:
     kind = _kind(expression)
     if "Identifier" in kind:
         raise RefusedQuery("names must be written out")
     if kind == "UnresolvedFunction":
         parts = _items(expression.nameParts())
-        if len(parts) != 1 or parts[0].lower() not in _FUNCTIONS:
+        if len(parts) != 1 or not _may_be_called(spark, parts[0]):
             raise RefusedQuery(f"function not allowed: {'.'.join(parts)}")
     if "SubqueryExpression" in _base_names(expression):
-        _walk(expression.plan(), views)
+        _walk(spark, expression.plan(), views)
     for child in _items(expression.children().toSeq()):
-        _walk_expression(child, views)
+        _walk_expression(spark, child, views)
 
 
 def _check_analysed(plan, views: set[str]) -> None:
@@ -152,6 +157,28 @@ def _check_code(expression, views: set[str]) -> None:
         _check_code(child, views)
 
 
+def _has_equality(condition) -> bool:
+    if _kind(condition) in ("EqualTo", "EqualNullSafe"):
+        return True
+    return _kind(condition) == "And" and any(_has_equality(c) for c in _items(condition.children().toSeq()))
+
+
+def _check_cost(plan) -> None:
+    """What the optimised plan's statistics say: no query may make up, or pair, more than a set amount.
+
+    An equality makes a join of pairs a join by key, whose cost is that of its sides.
+    """
+    kind, children = _kind(plan), _items(plan.children().toSeq())
+    if kind == "Range" and int(str(plan.numElements())) > _MOST_MADE_UP:
+        raise RefusedQuery("makes up too many rows")
+    if kind == "Join" and (plan.condition().isEmpty() or not _has_equality(plan.condition().get())):
+        left, right = (int(str(c.stats().sizeInBytes())) for c in children)
+        if left * right > _MOST_PAIRS:
+            raise RefusedQuery("pairs too many rows without an equality")
+    for child in children:
+        _check_cost(child)
+
+
 def _base_names(node) -> list[str]:
     names, kind = [], node.getClass()
     while kind is not None:
@@ -169,9 +196,10 @@ def read_only_sql(spark: SparkSession, text: str, views: tuple[str, ...] = VIEWS
     """
     text = text.strip().rstrip(";")
     known = {v.lower() for v in views}
-    _walk(spark._jsparkSession.sessionState().sqlParser().parsePlan(text), known)
+    _walk(spark, spark._jsparkSession.sessionState().sqlParser().parsePlan(text), known)
     out = spark.sql(text)
     _check_analysed(out._jdf.queryExecution().analyzed(), known)
+    _check_cost(out._jdf.queryExecution().optimizedPlan())
     return out
 
 

@@ -11,6 +11,7 @@ def view(spark):
         "AS t(compound, clean_lap, created_at, x)"
     ).createOrReplaceTempView("lap_features")
     spark.range(3).selectExpr("id AS x").createOrReplaceTempView("secret")
+    spark.udf.register("of_others", lambda x: x, "long")
 
 
 @pytest.mark.parametrize(
@@ -33,6 +34,15 @@ def view(spark):
         "WITH a AS (WITH b AS (SELECT x FROM lap_features) SELECT * FROM b) SELECT * FROM a",
         "SELECT * FROM lap_features l, LATERAL (SELECT max(x) FROM lap_features r WHERE r.x >= l.x)",
         "SELECT CASE WHEN x > 3 THEN 'a' ELSE upper(compound) END, x BETWEEN 1 AND 2, cast(x AS double) FROM lap_features",
+        "SELECT extract(YEAR FROM current_date), date_part('month', DATE'2024-05-06'), current_timestamp() FROM lap_features",
+        "SELECT compound, grouping(compound), string_agg(compound, ','), approx_percentile(x, 0.5) FROM lap_features GROUP BY CUBE (compound)",
+        "SELECT aggregate(array(1, 2), 0, (a, b) -> a + b), exists(array(1), v -> v > x), md5(compound), sha2(compound, 256) FROM lap_features",
+        "SELECT get_json_object('{\"a\": 1}', '$.a'), from_json('{\"a\": 1}', 'a INT').a, typeof(x) FROM lap_features",
+        "FROM lap_features |> WHERE x > 3 |> SELECT compound, x |> ORDER BY x",
+        "FROM lap_features |> AGGREGATE sum(x) AS total GROUP BY compound",
+        "SELECT x, sum(x) OVER (PARTITION BY compound) FROM lap_features",
+        "SELECT stack(2, 1, 2), levenshtein(compound, 'SAFT'), soundex(compound), make_date(2024, 1, 2), bin(x) FROM lap_features",
+        "SELECT * FROM lap_features l JOIN lap_features r ON l.x < r.x",
     ],
 )
 def test_reads_are_run(spark, text):
@@ -79,6 +89,18 @@ def test_reads_are_run(spark, text):
         "SELECT * FROM lap_features LATERAL VIEW explode(array(java_method('java.lang.Math', 'abs', -1))) e AS y",
         "SELECT * FROM secret",
         "SELECT version()",
+        "SELECT try_reflect('java.lang.System', 'getProperty', 'java.version') FROM lap_features",
+        "SELECT java_method('java.lang.Math', 'abs', -1)",
+        "SELECT input_file_name(), input_file_block_start() FROM lap_features",
+        "SELECT current_user(), current_catalog() FROM lap_features",
+        "SELECT raise_error('stop') FROM lap_features",
+        "SELECT monotonically_increasing_id() FROM lap_features",
+        "SELECT from_protobuf(x, 'A', '/etc/passwd') FROM lap_features",
+        "SELECT no_such_function(x) FROM lap_features",
+        "SELECT of_others(x) FROM lap_features",
+        "SELECT * FROM read_files('/etc')",
+        "SELECT sum(id) FROM range(1000000000000)",
+        "SELECT count(*) FROM range(50000000) a, range(50000000) b",
     ],
 )
 def test_all_else_is_refused(spark, text):
