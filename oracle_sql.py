@@ -646,6 +646,7 @@ ORACLES |= {
     ),
     "stored_raw_laps": sql(f"SELECT {_LAP_TEXT}, stint, race_round AS round, {r6s(_LAP_DOUBLES)} FROM laps", "laps"),
     "stored_races": sql("SELECT DISTINCT year, race_round FROM laps", "laps"),
+    "stored_inventory": ORACLES["corpus_by_year"],
     "stored_baselines": ORACLES["compound_age_baselines"],
     "stored_events": ORACLES["replay_events"],
     "saved_forest_scores": ORACLES["forest_scores"],

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlab.schemas import LAP_DDL, WEATHER_DDL, struct_of
-from stintlab.sources.tables import matching_paths, path_exists, write_partitioned
+from stintlab.sources.tables import matching_paths, path_exists, remove, replace_folder, write_partitioned
 
 PARTITION = ["year", "round"]
 RAW_DDL = LAP_DDL.rstrip() + "," + WEATHER_DDL
@@ -94,24 +95,108 @@ def sweep_manifest(
     return out.withColumn("status", status).drop("_landed", "_stored")
 
 
+# Folders of a lap store that readers of it skip, as their names say.
+_ASIDE, _STATUS = "_aside", "_status"
+
+
+def _race_is_one_of(races: list[tuple[int, int]]) -> Column:
+    """Plain comparisons, so that they reach the scan and whatever was derived from it."""
+    by_year: dict[int, list[int]] = {}
+    for year, race_round in races:
+        by_year.setdefault(year, []).append(race_round)
+    year, number = F.col("year").try_cast("int"), F.col("race_round").try_cast("int")
+    terms = [(year == y) & number.isin(sorted(r)) for y, r in sorted(by_year.items())]
+    return reduce(lambda a, b: a | b, terms, F.lit(False))
+
+
+def publish_races(laps: DataFrame, races: list[tuple[int, int]], root: str) -> list[tuple[int, int, str, str | None]]:
+    """(year, race_round, status, reason) of races written each by itself, though by few jobs.
+
+    All races are checked and written aside in one job each. If that fails, each half is tried on its own,
+    so a race that cannot be computed costs some jobs more and fails alone. What was written is published
+    race by race, by renaming its folder: readers see a race whole or not at all. races is bounded by the
+    calendar.
+    """
+    if not races:
+        return []
+    spark = laps.sparkSession
+    aside = f"{root}/{_ASIDE}/{uuid.uuid4().hex}"
+    part = laps.filter(_race_is_one_of(races))
+    try:
+        readable = [tuple(r) for r in readable_races(part).collect()]
+        write_raw_laps(part.filter(_race_is_one_of(readable)), aside)
+    except Exception as e:  # whatever stops a job must not stop the others
+        remove(spark, aside)
+        if len(races) == 1:
+            return [(*races[0], "failed", str(e).splitlines()[0][:500])]
+        half = len(races) // 2
+        return publish_races(laps, races[:half], root) + publish_races(laps, races[half:], root)
+    out = []
+    for year, race_round in races:
+        source = partition_path(aside, year, race_round)
+        if path_exists(spark, source):
+            replace_folder(spark, source, partition_path(root, year, race_round))
+            out.append((year, race_round, "written", None))
+        else:
+            out.append((year, race_round, "failed", "a value cannot be read"))
+    remove(spark, aside)
+    return out
+
+
+def sweep_status(spark: SparkSession, root: str) -> DataFrame:
+    """What sweeps have done so far: run, year, race_round, status and the reason of a failure."""
+    schema = "year int, race_round int, status string, reason string, run string"
+    if not path_exists(spark, f"{root}/{_STATUS}/run=*"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{_STATUS}")
+
+
 def sweep(
     schedule: DataFrame, landed: DataFrame, root: str, skip_existing: bool = True
 ) -> DataFrame:
-    """Ingest every scheduled race in one write; returns counts per status.
+    """Ingest every scheduled race; returns counts per status, and keeps the status of each race.
 
-    A race without laps, or with a value that cannot be read, fails by itself and does not hold up
-    the others.
+    A race without laps, with a value that cannot be read, or whose laps cannot be computed fails by
+    itself and does not hold up the others.
     """
     spark = landed.sparkSession
-    landed = landed.join(readable_races(landed), ["year", "race_round"], "left_semi")
-    manifest = sweep_manifest(schedule, landed, existing_races(spark, root), skip_existing)
-    # Settled before the write below changes what is stored; bounded by the race calendar.
-    counts = spark.createDataFrame(
-        manifest.groupBy("status").count().collect(), "status string, count bigint"
+    manifest = sweep_manifest(schedule, landed, existing_races(spark, root), skip_existing).select("year", "race_round", "status")
+    # Bounded by the race calendar.
+    planned = [tuple(r) for r in manifest.collect()]
+    wanted = [r[:2] for r in planned if r[2] == "written"]
+    done = {r[:2]: r[2:] for r in publish_races(landed, wanted, root)}
+    rows = [(*r[:2], *done.get(r[:2], (r[2], "no laps" if r[2] == "failed" else None))) for r in planned]
+    status = spark.createDataFrame(rows, "year int, race_round int, status string, reason string")
+    status.coalesce(1).write.parquet(f"{root}/{_STATUS}/run={uuid.uuid4().hex}")
+    return status.groupBy("status").agg(F.count("*").alias("count"))
+
+
+def race_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(year, race_round, laps) of every stored race, from file footers alone.
+
+    Counts by folder are pushed into the columnar scan, which then reads no data column. That needs the
+    newer reader, so a session of its own is set up for it; the result is one row per race. Ranges are not
+    taken this way: the scan finds a column's range by its place, and files of a store may differ in columns.
+    """
+    schema = "year int, race_round int, laps bigint"
+    if not path_exists(spark, f"{root}/year=*/round=*"):
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame(_footer_counts(spark, root).collect(), schema)
+
+
+def _footer_counts(spark: SparkSession, root: str) -> DataFrame:
+    aside = spark.newSession()
+    aside.conf.set("spark.sql.sources.useV1SourceList", "")
+    aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return aside.read.parquet(root).groupBy("year", "round").agg(F.count("*"))
+
+
+def stored_by_year(spark: SparkSession, root: str) -> DataFrame:
+    """Races and rows per season of the stored laps, as corpus_by_year has them, without reading a lap."""
+    return (
+        race_counts(spark, root).groupBy("year")
+        .agg(F.count("*").alias("races"), F.sum("laps").alias("laps")).orderBy("year")
     )
-    scheduled = race_rounds(schedule).select("year", F.col("round").alias("race_round"))
-    ingest(landed.join(scheduled, ["year", "race_round"], "left_semi"), root, skip_existing)
-    return counts
 
 
 def corpus_by_year(laps: DataFrame) -> DataFrame:

@@ -77,6 +77,38 @@ def test_a_race_with_a_bad_value_fails_alone(spark, raw, tmp_path):
     assert races(spark, root) == [(2024, 1), (2024, 3)]
 
 
+def test_a_race_that_cannot_be_computed_fails_alone(spark, raw, tmp_path):
+    """A fault in one race leaves the others published, and what was stored of it before stays."""
+    root = str(tmp_path / "laps")
+    store.ingest(raw.filter("race_round = 2").limit(4), root)
+    fault = F.when((F.col("race_round") == 2) & (F.col("lap_number") == 3), F.raise_error(F.lit("broken lap")).cast("double"))
+    broken = raw.withColumn("lap_time_sec", fault.otherwise(F.col("lap_time_sec")))
+    schedule = spark.createDataFrame([(2024, n, f"Race {n}") for n in (1, 2, 3, 4)], "year int, round int, race_name string")
+    assert rows(store.sweep(schedule, broken, root, skip_existing=False)) == [("failed", 2), ("written", 2)]
+    stored = store.read_raw_laps(spark, root)
+    sizes = {r.round: r["count"] for r in stored.groupBy("round").count().collect()}
+    assert sizes == {1: raw.filter("race_round = 1").count(), 2: 4, 3: raw.filter("race_round = 3").count()}
+    status = {r.race_round: (r.status, r.reason) for r in store.sweep_status(spark, root).collect()}
+    assert status[1] == status[3] == ("written", None) and status[4] == ("failed", "no laps")
+    assert status[2][0] == "failed" and "broken lap" in status[2][1]
+    again = store.sweep(schedule, raw, root, skip_existing=False)
+    assert rows(again) == [("failed", 1), ("written", 3)]
+    assert store.read_raw_laps(spark, root).count() == raw.count()
+    assert store.sweep_status(spark, root).select("run").distinct().count() == 2
+
+
+def test_inventory_reads_no_data_column(spark, raw, tmp_path):
+    root = str(tmp_path / "laps")
+    assert store.race_counts(spark, root).count() == 0
+    store.write_raw_laps(raw, root)
+    text = store._footer_counts(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in text and "PushedGroupBy: [year, round]" in text
+    want = raw.groupBy("year", "race_round").agg(F.count("*"))
+    assert rows(store.race_counts(spark, root)) == rows(want)
+    assert rows(store.stored_by_year(spark, root)) == rows(store.corpus_by_year(raw))
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 def test_messages_of_a_driver_stay_in_lap_order(spark):
     sent = spark.range(0, 3000, 1, 9).select(
         (F.hash("id") % 400).cast("long").alias("lap_number"), F.concat(F.lit("D"), F.col("id") % 7).alias("key"), F.lit("v").alias("value")
