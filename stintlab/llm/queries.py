@@ -112,9 +112,7 @@ ORACLES["op11_prefix_trie"] = prefix_trie.SQL
 
 @query
 def op12_sentence_pieces(spark: SparkSession, d: str) -> DataFrame:
-    model = tokenizer("piece_bpe_32k.model")
-    encoded = sentence_pieces.encode_documents(read(spark, d, "documents"), model)
-    return sentence_pieces.digest(sentence_pieces.decode_documents(encoded, model))
+    return sentence_pieces.piece_digest(read(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 @query

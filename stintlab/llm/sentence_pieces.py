@@ -5,19 +5,16 @@ character map that begins there is replaced, other characters stay. Beside the n
 runs an array with the source offset of each, so a piece, which is a stretch of normalised bytes,
 projects to a stretch of the original by two look-ups.
 
-Merging is the model's own rule: the pair with the best score first, the leftmost of equal ones.
-No piece may hold a blank mark after another character (checked when a model is read), so no merge
-crosses the border before a run of blanks, and what lies between two borders is merged on its own
-and kept for the next time it comes.
+Pieces of the normalised text are the library's, from the same model with its own normalisation
+taken out; how many normalised bytes a piece takes is known from its id.
 """
 
 from __future__ import annotations
 
 import codecs
-import heapq
+import hashlib
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,16 +25,12 @@ from pyspark.sql import functions as F
 
 from stintlab.llm.common import column_slices, ship_package
 
-# Characters of stretches a task keeps; beyond it the store starts anew. Longer ones are not kept.
-KEPT_CHARACTERS = 1_500_000
-_LONGEST_KEPT = 64
-_NEVER = float("inf")
-
 # The mark that stands for a blank, kinds of pieces, and fields of a model file.
 BLANK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _PIECE, _TRAINER, _NORMALIZER = 1, 2, 3
-_BPE = 2
+# A normaliser that changes nothing, as a field of a model: no map, no blank in front, no trimming.
+_BARE = bytes([_NORMALIZER << 3 | 2, 6, 2 << 3 | 2, 0, 3 << 3, 0, 4 << 3, 0])
 
 _ENCODED = "doc_id long, ids array<int>, begins array<int>, ends array<int>"
 
@@ -96,50 +89,40 @@ class PieceModel:
     """A model file made ready in the task that uses it."""
 
     def __init__(self, data: bytes):
-        kinds, settings = [], {}
-        self.pieces: list[str] = []
-        self.rank: dict[str, float] = {}
-        self.ids: dict[str, int] = {}
-        self.byte_ids = [0] * 256
+        from sentencepiece import SentencePieceProcessor
+
+        kinds, pieces, settings = [], [], {}
         for number, value in _fields(data):
             if number == _PIECE:
-                # Defaults of the format: an empty string, score 0, a normal piece.
-                own = {1: b"", 2: bytes(4), 3: _NORMAL} | dict(_fields(value))
-                piece, i = own[1].decode(), len(kinds)
+                # Defaults of the format: an empty string, a normal piece.
+                own = {1: b"", 3: _NORMAL} | dict(_fields(value))
                 kinds.append(own[3])
-                self.pieces.append(piece)
-                if own[3] == _NORMAL:
-                    self.ids[piece] = i
-                    self.rank[piece] = -struct.unpack("<f", own[2])[0]
-                elif own[3] == _BYTE:
-                    self.byte_ids[int(piece[3:5], 16)] = i
+                pieces.append(own[1].decode())
             elif number in (_TRAINER, _NORMALIZER):
                 settings.setdefault(number, {}).update(_fields(value))
         trainer, normalizer = settings[_TRAINER], settings[_NORMALIZER]
-        # Fixed numbers of settings: model type, byte fallback, blanks as suffix, user-defined pieces.
-        if trainer.get(3) != _BPE or not trainer.get(35) or trainer.get(24) or not set(kinds) <= {1, 2, 3, 6}:
-            raise ValueError("only BPE models with byte fallback and without own symbols are supported")
-        if any(BLANK in p.lstrip(BLANK) for p in self.ids):
-            raise ValueError("a piece holds a blank after another character")
+        # Fixed numbers of settings: byte fallback, blanks as suffix; unknown surface, rules, prefix, trim, marks.
+        if not trainer.get(35) or trainer.get(24) or not set(kinds) <= {_NORMAL, _UNKNOWN, _CONTROL, _BYTE}:
+            raise ValueError("only models with byte fallback and without own symbols are supported")
+        unknown = trainer.get(44, " \u2047 ".encode())
         self.rules = character_map(normalizer.get(2, b""))
-        self.prefix, self.trim, self.escape = (bool(normalizer.get(n, 1)) for n in (3, 4, 5))
-        if not self.escape:
+        self.prefix, self.trim, marks = (bool(normalizer.get(n, 1)) for n in (3, 4, 5))
+        if not marks:
             raise ValueError("only models that mark blanks are supported")
+        # A later message replaces settings of an earlier one.
+        self.library = SentencePieceProcessor(model_proto=data + _BARE)
         self.reach: dict[str, int] = {}
         for source in self.rules:
             self.reach[source[0]] = max(self.reach.get(source[0], 0), len(source))
         self.starts = re.compile("[" + "".join(map(re.escape, sorted(self.reach))) + "]") if self.rules else None
-        self.stretches = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
-        unknown = trainer.get(44, b" \xe2\x81\x87 ")
         by_kind = {_UNKNOWN: lambda p: unknown, _CONTROL: lambda p: b"", _BYTE: lambda p: bytes([int(p[3:5], 16)])}
         plain = lambda p: p.replace(BLANK, " ").encode()
-        self.spoken = [by_kind.get(k, plain)(p) for k, p in zip(kinds, self.pieces)]
-        self.leads = [k == _NORMAL and p.startswith(BLANK) for k, p in zip(kinds, self.pieces)]
-        self._restart()
-
-    def _restart(self) -> None:
-        self.kept: dict[str, tuple[bytes, bytes]] = {}
-        self.kept_size = 0
+        self.spoken = [by_kind.get(k, plain)(p) for k, p in zip(kinds, pieces)]
+        self.blank = [p == BLANK for p in pieces]
+        self.leads = [k == _NORMAL and p.startswith(BLANK) for k, p in zip(kinds, pieces)]
+        # Normalised bytes of a piece; of a byte piece its own.
+        self.sizes = np.array([1 if k == _BYTE else len(p.encode()) for k, p in zip(kinds, pieces)], np.int32)
+        self.byte_of = np.array([int(p[3:5], 16) if k == _BYTE else -1 for k, p in zip(kinds, pieces)], np.int16)
 
     def _unit(self, text: str, at: int) -> tuple[str, int]:
         """What stands for the longest source string at a place, and the length of that string."""
@@ -198,82 +181,20 @@ class PieceModel:
             marked = marked.decode().rstrip(BLANK).encode()
         return marked, origin[: len(marked) + 1]
 
-    def _merge(self, stretch: str) -> list[str]:
-        """Pieces of a stretch: neighbours merge by rank, the leftmost of equal rank first."""
-        parts, rank = list(stretch), self.rank.get
-        ranks = [rank(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
-        while ranks and (best := min(ranks)) != _NEVER:
-            i = ranks.index(best)
-            pair = parts[i] + parts[i + 1]
-            parts[i : i + 2] = [pair]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank(pair + parts[i + 1], _NEVER)
-            if i:
-                ranks[i - 1] = rank(parts[i - 1] + pair, _NEVER)
-        return parts
-
-    def _merge_long(self, stretch: str) -> list[str]:
-        """The same with a queue, in time that hardly exceeds the length."""
-        parts: list[str] = list(stretch)
-        after = list(range(1, len(parts) + 1))
-        before = list(range(-1, len(parts) - 1))
-        rank, queue = self.rank.get, []
-
-        def offer(left: int) -> None:
-            pair = parts[left] + parts[after[left]]
-            own = rank(pair)
-            if own is not None:
-                heapq.heappush(queue, (own, left, pair))
-
-        for i in range(len(parts) - 1):
-            offer(i)
-        while queue:
-            _, left, pair = heapq.heappop(queue)
-            right = after[left]
-            if not parts[left] or right >= len(parts) or parts[left] + parts[right] != pair:
-                continue
-            parts[left], parts[right] = pair, ""
-            after[left] = after[right]
-            if after[left] < len(parts):
-                before[after[left]] = left
-                offer(left)
-            if before[left] >= 0:
-                offer(before[left])
-        return [p for p in parts if p]
-
-    def _stretch(self, stretch: str) -> tuple[bytes, bytes]:
-        """Ids, and lengths in normalised bytes, as packed 32-bit integers.
-
-        A character without a piece becomes one id per byte, of which the last takes all its length.
-        """
-        ids, sizes = [], []
-        short = len(stretch) <= _LONGEST_KEPT
-        for piece in self._merge(stretch) if short else self._merge_long(stretch):
-            own = piece.encode()
-            i = self.ids.get(piece)
-            if i is None:
-                ids += [self.byte_ids[b] for b in own]
-                sizes += [0] * (len(own) - 1)
-            else:
-                ids.append(i)
-            sizes.append(len(own))
-        made = array("i", ids).tobytes(), array("i", sizes).tobytes()
-        if short:
-            self.kept_size += len(stretch)
-            if self.kept_size > KEPT_CHARACTERS:
-                self._restart()
-            self.kept[stretch] = made
-        return made
-
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and the first byte and the end of each in the text; a null text is an empty one."""
+        """Ids, and the first byte and the end of each in the text; a null text is an empty one.
+
+        A character without a piece becomes one id per byte, of which the last takes all of its span.
+        """
         normal, origin = self.normalise(text or "")
-        find = self.kept.get
-        made = [find(s) or self._stretch(s) for s in self.stretches(normal.decode())]
-        ids = np.frombuffer(b"".join([m[0] for m in made]), np.int32)
-        ends = np.cumsum(np.frombuffer(b"".join([m[1] for m in made]), np.int32), dtype=np.int64)
-        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
+        ids = np.asarray(self.library.encode(normal.decode(), out_type="numpy"), np.int32)
+        ends = np.cumsum(self.sizes[ids], dtype=np.int64)
+        begins = ends - self.sizes[ids]
+        byte = self.byte_of[ids]
+        if (byte >= 0).any():
+            first = (byte < 0) | (byte < 0x80) | (byte >= 0xC0)
+            begins = begins[np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))]
+            ends = np.where(np.append(first[1:], True), ends, begins)
         return ids, origin[begins], origin[ends]
 
     def decode(self, ids: list[int]) -> str:
@@ -283,7 +204,7 @@ class PieceModel:
             for i in ids:
                 if self.leads[i]:
                     said = said[1:]
-                if self.spoken[i] and not (self.trim and self.pieces[i] == BLANK):
+                if self.spoken[i] and not (self.trim and self.blank[i]):
                     break
         return said.decode("utf-8", "each_byte")
 
@@ -341,17 +262,42 @@ def decode_documents(encoded: DataFrame, model_path: str, ids: str = "ids", text
         model = _ready(shared.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            texts = pa.array([model.decode(row.as_py() or []) for row in column], pa.string())
+            flat, offsets = column.values.to_numpy(), column.offsets.to_pylist()
+            known = column.is_valid().to_pylist()
+            said = [model.decode(flat[a:b].tolist() if ok else []) for a, b, ok in zip(offsets, offsets[1:], known)]
+            texts = pa.array(said, pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, text])
 
     return kept.mapInArrow(run, schema)
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, SHA-256 of the decimal ids joined by commas and of the decoded text, bytes spanned."""
-    shown = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(shown, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
-        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes"),
-    )
+_DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
+
+
+def piece_digest(docs: DataFrame, model_path: str) -> DataFrame:
+    """Per row of docs: number of ids, SHA-256 of the decimal ids joined by commas and of the text decoded from
+    them, and bytes of the text that their spans cover.
+
+    Encodes and decodes in one pass, so that the ids of a document never leave its task.
+    """
+    shared = _model(docs, model_path)
+
+    def run(batches):
+        model = _ready(shared.value)
+        names = [str(i) for i in range(len(model.spoken))]
+        for part in column_slices(batches, "text"):
+            rows = []
+            for text in part.column("text").to_pylist():
+                ids, begins, ends = model.encode(text)
+                ids = ids.tolist()
+                shown = ",".join([names[i] for i in ids]).encode()
+                covered = int(np.maximum(ends - begins, 0).sum())
+                said = model.decode(ids).encode()
+                rows.append((len(ids), hashlib.sha256(shown).hexdigest(), hashlib.sha256(said).hexdigest(), covered))
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"]
+            )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _DIGEST)

@@ -56,20 +56,6 @@ def test_compiled_maps(texts, rule, prefix, trim):
     same_as_library(with_normalizer(rule, prefix, trim), texts)
 
 
-def test_long_stretches_merge_alike(rng):
-    with open(PATH, "rb") as f:
-        model = PieceModel(f.read())
-    for _ in range(500):
-        stretch = "▁" * rng.randint(0, 20) + "".join(rng.choice("theraionscé日") for _ in range(rng.randint(1, 120)))
-        assert model._merge(stretch) == model._merge_long(stretch)
-
-
-def test_store_that_runs_full(monkeypatch, texts):
-    monkeypatch.setattr(sentence_pieces, "KEPT_CHARACTERS", 50)
-    with open(PATH, "rb") as f:
-        same_as_library(f.read(), texts[:300])
-
-
 def test_bytes_that_are_no_character():
     with open(PATH, "rb") as f:
         data = f.read()
@@ -78,13 +64,14 @@ def test_bytes_that_are_no_character():
         assert model.decode(ids) == library.decode(ids)
 
 
-def test_models_it_cannot_apply(tmp_path):
+def test_models_it_cannot_apply():
     with open(PATH, "rb") as f:
         data = f.read()
-    for piece in ("a▁b", ):
-        own = bytes([1 << 3 | 2]) + varint(len(piece.encode())) + piece.encode()
-        with pytest.raises(ValueError):
-            PieceModel(data + bytes([1 << 3 | 2]) + varint(len(own)) + own)
+    own = bytes([1 << 3 | 2]) + varint(3) + b"own" + bytes([3 << 3, 4])  # a user-defined symbol
+    with pytest.raises(ValueError):
+        PieceModel(data + bytes([1 << 3 | 2]) + varint(len(own)) + own)
+    with pytest.raises(ValueError):
+        PieceModel(data + bytes([2 << 3 | 2, 3]) + varint(35 << 3) + b"\x00")  # no byte fallback
 
 
 def plain_row(library, doc_id, text):
@@ -97,9 +84,14 @@ def test_awkward_rows(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     table = with_extra_columns(docs(spark, ODD_ROWS)).withColumnRenamed("size", "ids")
     encoded = sentence_pieces.encode_documents(table, PATH)
-    got = sorted((tuple(r) for r in sentence_pieces.digest(sentence_pieces.decode_documents(encoded, PATH)).collect()), key=repr)
+    decoded = sentence_pieces.decode_documents(encoded, PATH)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    steps = sorted(((r["doc_id"], len(r["ids"]), sha(",".join(map(str, r["ids"]))), sha(r["text"])) for r in decoded.collect()), key=repr)
+    got = sorted((tuple(r) for r in sentence_pieces.piece_digest(table, PATH).collect()), key=repr)
+    assert steps == sorted((r[:4] for r in got), key=repr)
     assert got == sorted((plain_row(library, i, t) for i, t, *_ in ODD_ROWS), key=repr)
     assert sentence_pieces.encode_documents(table.limit(0), PATH).count() == 0
+    assert sentence_pieces.piece_digest(table.limit(0), PATH).count() == 0
     texts = {i: t for i, t, *_ in ODD_ROWS}
     for r in encoded.filter("doc_id = 6").collect():
         own = texts[6].encode()
