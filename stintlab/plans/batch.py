@@ -18,7 +18,7 @@ from stintlab.operators.risk import add_risk_score
 from stintlab.schemas import FIELD_KEYS
 from stintlab.sources.laps import resolve_laps
 from stintlab.sources.replay import race_is
-from stintlab.sources.tables import write_table
+from stintlab.sources.tables import staging, write_table
 
 log = logging.getLogger("stintlab")
 
@@ -148,9 +148,10 @@ def run_batch(
     spark: SparkSession, at: Layout, race: str | None = None, rules: Rules = RULES
 ) -> DataFrame:
     """Features, then the model, then events: later steps read what earlier ones wrote."""
-    write_features(spark, at, rules)
-    try:
-        write_model(spark, at, rules)
-    except M.TooFewRows as e:
-        log.warning("no new anomaly model: %s", e)
-    return write_events(spark, at, race, rules)
+    with staging(spark):
+        write_features(spark, at, rules)
+        try:
+            write_model(spark, at, rules)
+        except M.TooFewRows as e:
+            log.warning("no new anomaly model: %s", e)
+        return write_events(spark, at, race, rules)

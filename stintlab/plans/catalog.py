@@ -23,7 +23,7 @@ from stintlab.plans.batch import Layout, score_laps, write_events, write_feature
 from stintlab.schemas import BASELINE_KEYS, FIELD_KEYS, LAP_DDL, STINT_KEYS, names_of
 from stintlab.sources import laps as store
 from stintlab.sources import replay
-from stintlab.sources.tables import shared_dir, stage
+from stintlab.sources.tables import fingerprint, shared_dir, stage
 from stintlab.streaming.monitor import LiveTables, start_monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -547,11 +547,11 @@ def race_current(spark, d):
 
 
 # Tables that a job or a stream has written, kept per session and input so that each is written once.
-_written: dict[tuple[str, str, str], object] = {}
+_written: dict[tuple, object] = {}
 
 
 def _once(kind: str, spark: SparkSession, d: str, make: Callable[[str], object]):
-    key = (kind, spark.sparkContext.applicationId, d)
+    key = (kind, spark.sparkContext.applicationId, d, fingerprint(spark, f"{d}/events.parquet"))
     if key not in _written:
         _written[key] = make(f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}")
     return _written[key]

@@ -10,6 +10,8 @@ _SETTINGS = {
     # Shuffle width is left to AQE: it coalesces small partitions and splits skewed ones.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows here are few but costly: tasks stay apart down to this size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -23,6 +26,25 @@ def staged_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
 
 
+# Folder of the innermost scope of staged tables, per thread.
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, so a job that has written its results leaves nothing.
+
+    Tables that are still needed later must be written elsewhere, or staged outside.
+    """
+    name = f"{_scope.get()}/scope-{uuid.uuid4().hex}"
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove(spark, staged_dir(spark) + name)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -30,7 +52,7 @@ def stage(df: DataFrame) -> DataFrame:
     its footers. Values that are not a function of the input, such as row ids, are fixed by it.
     """
     spark = df.sparkSession
-    path = f"{staged_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{staged_dir(spark)}{_scope.get()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -89,6 +111,14 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath().toString()) for s in fs.globStatus(hadoop_path) or []]
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files: another tuple once the table has changed."""
+    fs, where = _place(spark, path)
+    files = [where] if fs.getFileStatus(where).isFile() else [s.getPath() for s in fs.listStatus(where)]
+    found = [fs.getFileStatus(f) for f in files]
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     return bool(matching_paths(spark, pattern))
 

@@ -103,3 +103,15 @@ def test_staged_tables_live_in_the_shared_folder(spark, stored):
     assert kept.count() == 3
     drop_staged(spark)
     assert not path_exists(spark, staged_dir(spark))
+
+
+def test_a_scope_removes_what_was_staged_in_it(spark):
+    from stintlab.sources.tables import matching_paths, staging
+
+    kept = stage(spark.range(3))
+    with staging(spark):
+        inner = stage(spark.range(5))
+        with staging(spark):
+            stage(spark.range(7))
+        assert inner.count() == 5 and len(matching_paths(spark, f"{staged_dir(spark)}/scope-*/*")) == 1
+    assert kept.count() == 3 and not path_exists(spark, f"{staged_dir(spark)}/scope-*")
