@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, hash_share, row_key, ship_package, stage
+from stintlab.llm.common import column_slices, give_back, hash_share, row_key, ship_package, stage
 from stintlab.llm.components import connected_components
 
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -46,7 +46,8 @@ class JoinRules:
     bucket_entries: int = 1_000_000
     block: int = 2000
     cell_rows: int = 20_000
-    # Members of groups from this size on are compared with so many more hubs before pairs are formed.
+    # Members of open groups from this size on are compared with so many more hubs before pairs are formed;
+    # smaller groups gain nothing by it. Results depend on neither.
     hub_from: int = 50
     hubs: int = 8
     # Cells of a sketch for each shingle, up to a power of two, and most cells.
@@ -233,6 +234,7 @@ def _index(shared, buckets: int, rules: JoinRules):
     """Signatures of each node, packed by bucket: 32 bits of the signature and the node."""
 
     def run(batches):
+        give_back()
         costs: Costs = shared.value
         done: set[int] = set()
         for part in column_slices(batches, "text"):
@@ -349,6 +351,7 @@ def _compare(possible: DataFrame, docs: DataFrame, rules: JoinRules) -> DataFram
     joined = wanted.select("a", "b").join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches):
+        give_back()
         last, kept = None, None
         for part in column_slices(batches, "text_b"):
             ids = part.column("a").to_pylist()
@@ -435,12 +438,17 @@ def _members(groups: DataFrame) -> DataFrame:
     )
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their labels, of groups whose members are in several components."""
-    labelled = stage(
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with the component each is in by now."""
+    return stage(
         members.join(labels.select("node", F.col("label").alias("own")), "node", "left")
         .withColumn("label", F.coalesce("own", "node")).drop("own")
     )
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their labels, of groups whose members are in several components."""
+    labelled = _labelled(members, labels)
     several = stage(
         labelled.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select("group")
     )
@@ -459,18 +467,24 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stage(known.join(down, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
 
 
-def _hub_pairs(opened: DataFrame, hubs: int) -> DataFrame:
-    """a, b: each member with its group's hubs whose components are others.
+def _hub_pairs(members: DataFrame, labels: DataFrame, hubs: int) -> DataFrame:
+    """a, b: each member of an open group with the group's hubs whose components are others.
 
     Each hub is the first in an order of its own over all nodes, so groups with much the same
-    members have the same hubs.
+    members have the same hubs. A node's equal lists of hubs are one before they are taken apart, and
+    hubs of its own component are left out before rows multiply.
     """
+    labelled = _labelled(members, labels)
     firsts = [F.min(F.struct(F.xxhash64(F.lit(i), F.col("node")).alias("turn"), "node", "label")) for i in range(hubs)]
-    chosen = stage(opened.groupBy("group").agg(F.array(*firsts).alias("hubs")))
-    return (
-        opened.join(chosen, "group").withColumn("hub", F.explode("hubs")).filter(F.col("label") != F.col("hub.label"))
-        .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    # One aggregate tells which groups are open and chooses their hubs.
+    chosen = stage(
+        labelled.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.array(*firsts).alias("hubs"))
+        .filter("l <> m").select("group", F.transform("hubs", lambda h: F.struct(h["node"].alias("node"), h["label"].alias("label"))).alias("hubs"))
     )
+    others = F.transform(F.filter("hubs", lambda h: h["label"] != F.col("label")), lambda h: h["node"])
+    met = labelled.join(chosen, "group").select("node", F.array_distinct(others).alias("others"))
+    pairs = met.filter(F.size("others") > 0).distinct().select("node", F.explode("others").alias("hub"))
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def _remaining(opened: DataFrame, compared: DataFrame, nodes: DataFrame, rules: JoinRules) -> DataFrame:
@@ -504,6 +518,7 @@ def _classes(docs: DataFrame, rules: JoinRules) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("row"), "text")
 
     def measure(batches):
+        give_back()
         for part in column_slices(batches, "text"):
             sets = shingle_sets(part.column("text").to_pylist(), rules.words)
             yield pa.RecordBatch.from_arrays(
@@ -532,7 +547,7 @@ def _classes(docs: DataFrame, rules: JoinRules) -> DataFrame:
     labels = stage(connected_components(compared.filter(linked).select("a", "b")))
     members = _members(groups)
     large = members.filter(F.col("n") >= rules.hub_from)
-    pairs = _hub_pairs(_open(large, labels), rules.hubs).join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = _hub_pairs(large, labels, rules.hubs).join(compared.select("a", "b"), ["a", "b"], "left_anti")
     more = _compare(_possible(pairs, nodes, rules), known, rules)
     labels = _merged(labels, more.filter(linked).select("a", "b"))
     compared = compared.unionByName(more)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, hash_share, ship_package
+from stintlab.llm.common import column_slices, give_back, hash_share, ship_package
 from stintlab.llm.vocab import ByteEncoder, load_file
 from stintlab.sources.tables import staged_dir
 
@@ -98,6 +98,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, rules: OutputR
         import zstandard
         from pyspark import TaskContext
 
+        give_back()
         shard = TaskContext.get().partitionId()
         encoder = ByteEncoder(shared.value)
         squeeze = zstandard.ZstdCompressor(level=rules.level, dict_data=_dictionary(sent.value)).compress
@@ -154,9 +155,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         import zstandard
 
+        give_back()
         expand = zstandard.ZstdDecompressor(dict_data=_dictionary(sent.value)).decompress
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                # One block at a time becomes Python objects.
+                row = batch.slice(i, 1).to_pylist()[0]
                 if row["dict_sha256"] != sha:
                     raise ValueError("block written under another dictionary")
                 frames, offsets = memoryview(row["frames"]), row["offsets"]
