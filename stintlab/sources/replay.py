@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stintlab.config import SCALE
 from stintlab.functions.columns import not_nan
+from stintlab.operators.joins import sized
 from stintlab.schemas import EVENT_DDL, names_of, struct_of
 from stintlab.sources.tables import write_table
 
@@ -110,16 +112,39 @@ def by_driver(messages: DataFrame) -> DataFrame:
     return messages.repartition("key").sortWithinPartitions("key", "lap_number")
 
 
-def publish_to_kafka(messages: DataFrame, servers: str, topic: str) -> None:
-    (
-        by_driver(messages)
-        .select("key", "value")
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("kafka.acks", "all")
-        .save()
-    )
+def lap_ranges(messages: DataFrame, most: int = SCALE.hot_rows) -> list[DataFrame]:
+    """Messages cut at laps so that no driver has more than about `most` in a part; parts are to be sent in order.
+
+    Without a driver of more there is one part. A part is a range of laps of all drivers, so what a driver
+    sends stays in lap order. There are at most twice as many parts as `most` goes into the large drivers' rows.
+    """
+    per_driver = messages.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("key")
+    large = sized(per_driver)
+    if large.isEmpty():
+        return [messages]
+    per_lap = messages.join(large, "key", "left_semi").groupBy("key", "lap_number").agg(F.count("*").alias("n"))
+    line = Window.partitionBy("key").orderBy("lap_number")
+    part = F.floor((F.sum("n").over(line) - 1) / most)
+    placed = per_lap.withColumn("part", part).withColumn("before", F.lag("part").over(line))
+    borders = placed.filter("part > before").select("lap_number").distinct().orderBy("lap_number")
+    cuts = [r["lap_number"] for r in borders.collect()]
+    lap = F.coalesce(F.col("lap_number"), F.lit(-(1 << 62)))
+    edges = [-(1 << 62), *cuts, None]
+    return [messages.filter((lap >= a) & (F.lit(True) if b is None else lap < b)) for a, b in zip(edges, edges[1:])]
+
+
+def publish_to_kafka(messages: DataFrame, servers: str, topic: str, most: int = SCALE.hot_rows) -> None:
+    """Send messages so that each driver's arrive in lap order; a very large driver's go out range by range."""
+    for part in lap_ranges(messages, most):
+        (
+            by_driver(part)
+            .select("key", "value")
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("topic", topic)
+            .option("kafka.acks", "all")
+            .save()
+        )
 
 
 def publish_to_files(messages: DataFrame, path: str) -> None:

@@ -121,6 +121,20 @@ def test_messages_of_a_driver_stay_in_lap_order(spark):
         seen[r["key"]] = (r["task"], r["lap_number"])
 
 
+def test_a_very_large_driver_is_sent_range_by_range(spark):
+    """Parts in order hold each driver's laps in order, every message once, and bounded work per driver."""
+    hot = [("H", n) for n in range(500)] + [("H", None), ("H", 7), ("H", 7)]
+    rest = [(f"D{d}", n) for d in range(5) for n in range(30)]
+    sent = spark.createDataFrame(hot + rest, "key string, lap_number long").withColumn("value", F.lit("v")).repartition(6)
+    assert len(replay.lap_ranges(sent, 1000)) == 1
+    parts = [[(r["key"], r["lap_number"]) for r in p.collect()] for p in replay.lap_ranges(sent, 60)]
+    assert 8 <= len(parts) <= 18
+    assert sorted(sum(parts, []), key=repr) == sorted(hot + rest, key=repr)
+    laps = [[-1 if n is None else n for _, n in p] for p in parts]
+    assert all(max(a) < min(b) for a, b in zip(laps, laps[1:]))
+    assert max(sum(k == "H" for k, _ in p) for p in parts) <= 60 + 3
+
+
 def test_resolve(spark, raw, tmp_path):
     root, single = str(tmp_path / "laps"), str(tmp_path / "laps.parquet")
     with pytest.raises(FileNotFoundError):
