@@ -600,6 +600,33 @@ def stream_header(spark, d):
     return header.withColumn("updated_at", F.col("updated_at").cast("string"))
 
 
+def _monitored_shuffled(spark, d) -> LiveTables:
+    """The same with laps in any order over several micro-batches, and a restart before the last of them."""
+
+    def make(root: str) -> LiveTables:
+        sent = replay.replay_messages(weather_events(spark, d), event_time=EVENT_TIME)
+        sent.repartition(6, F.xxhash64("key", "lap_number")).write.parquet(f"{root}/messages")
+        tables, now = LiveTables(spark, f"{root}/tables"), F.lit(UPDATED).cast("timestamp")
+        for last in (False, True):
+            if last:
+                replay.heartbeat(spark, RACE_OVER).coalesce(1).write.mode("append").parquet(f"{root}/messages")
+            source = replay.file_source(spark, f"{root}/messages", files_per_batch=2)
+            start_monitor(source, tables, f"{root}/checkpoint", drain=True, now=now).awaitTermination()
+        return tables
+
+    return _once("shuffled", spark, d, make)
+
+
+@query
+def stream_shuffled_state(spark, d):
+    return live.state_text(_monitored_shuffled(spark, d).state())
+
+
+@query
+def stream_shuffled_history(spark, d):
+    return _monitored_shuffled(spark, d).history()
+
+
 @query
 def stream_race(spark, d):
     return _monitored(spark, d).race().select("race_name", "year", "last_lap", F.col("updated_at").cast("string"))
