@@ -115,3 +115,14 @@ def test_a_scope_removes_what_was_staged_in_it(spark):
             stage(spark.range(7))
         assert inner.count() == 5 and len(matching_paths(spark, f"{staged_dir(spark)}/scope-*/*")) == 1
     assert kept.count() == 3 and not path_exists(spark, f"{staged_dir(spark)}/scope-*")
+
+
+def test_session_has_the_settings_the_operators_count_on(spark):
+    from stintlab.session import _SETTINGS, get_spark
+    from stintlab.streaming.lap_order import STATE_SETTINGS
+
+    assert get_spark("tests") is spark
+    assert {k: spark.conf.get(k) for k in _SETTINGS} == _SETTINGS
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    name = "spark.sql.streaming.stateStore.providerClass"
+    assert _SETTINGS[name] == STATE_SETTINGS[name]
