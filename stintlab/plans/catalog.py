@@ -640,34 +640,57 @@ def stream_metrics(spark, d):
 # --- written tables read back ---------------------------------------------------------------
 
 
-def _stored(spark, d) -> Layout:
-    """Raw laps, features, a saved forest, baselines and events, each written by its own step."""
+# Each step writes its tables after those it reads, so a query waits for what it needs and no more.
+
+
+def _layout(spark, d) -> Layout:
+    return _once("stored", spark, d, Layout.under)
 
-    def make(root: str) -> Layout:
-        at = Layout.under(root)
-        store.write_raw_laps(weather_laps(spark, d).drop("event_id"), at.raw)
-        write_features(spark, at)
-        hand_forest(spark).save(at.model)
-        write_events(spark, at)
+
+def _step(name: str, spark, d, write: Callable[[Layout], object]) -> Layout:
+    at = _layout(spark, d)
+
+    def make(_: str) -> Layout:
+        write(at)
         return at
 
-    return _once("stored", spark, d, make)
+    return _once(f"stored-{name}", spark, d, make)
+
+
+def _stored_raw(spark, d) -> Layout:
+    return _step("raw", spark, d, lambda at: store.write_raw_laps(weather_laps(spark, d).drop("event_id"), at.raw))
+
+
+def _stored_features(spark, d) -> Layout:
+    _stored_raw(spark, d)
+    return _step("features", spark, d, lambda at: write_features(spark, at))
+
+
+def _stored_model(spark, d) -> Layout:
+    return _step("model", spark, d, lambda at: hand_forest(spark).save(at.model))
+
+
+def _stored(spark, d) -> Layout:
+    """Raw laps, features, a saved forest, baselines and events, each written by its own step."""
+    _stored_features(spark, d)
+    _stored_model(spark, d)
+    return _step("events", spark, d, lambda at: write_events(spark, at))
 
 
 @query
 def stored_raw_laps(spark, d):
-    return store.read_raw_laps(spark, _stored(spark, d).raw).select(*names_of(LAP_DDL), "round")
+    return store.read_raw_laps(spark, _stored_raw(spark, d).raw).select(*names_of(LAP_DDL), "round")
 
 
 @query
 def stored_races(spark, d):
-    return store.existing_races(spark, _stored(spark, d).raw)
+    return store.existing_races(spark, _stored_raw(spark, d).raw)
 
 
 @query
 def stored_inventory(spark, d):
     """Races and rows per season of what was written, from file footers."""
-    return store.stored_by_year(spark, _stored(spark, d).raw)
+    return store.stored_by_year(spark, _stored_raw(spark, d).raw)
 
 
 @query
@@ -682,13 +705,15 @@ def stored_events(spark, d):
 
 @query
 def saved_forest_scores(spark, d):
-    forest = M.load_forest(spark, _stored(spark, d).model)
+    forest = M.load_forest(spark, _stored_model(spark, d).model)
     return M.score_events(features(spark, d), forest).select(*LAP_KEY, "anomaly_score", "is_anomaly")
 
 
 def _report(name: str) -> None:
     def report(spark, d):
-        serving.register_views(spark, _stored(spark, d).views())
+        view, _ = serving.REPORTS[name]
+        stored = _stored_features if view == "lap_features" else _stored
+        serving.register_views(spark, stored(spark, d).views(), [view])
         return serving.run_report(spark, name)
 
     report.__name__ = f"report_{name}"

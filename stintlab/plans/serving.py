@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,10 +24,10 @@ REPORTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 DEFAULT_SQL = "SELECT compound, count(*) AS laps FROM lap_features WHERE clean_lap GROUP BY compound"
 
 
-def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+def register_views(spark: SparkSession, paths: dict[str, str], views: Sequence[str] = VIEWS) -> list[str]:
     """Temporary views over written tables; replay_events may be missing, the others may not."""
     made = []
-    for view in VIEWS:
+    for view in views:
         if view == "replay_events" and not path_exists(spark, paths[view]):
             continue
         spark.read.parquet(paths[view]).createOrReplaceTempView(view)
