@@ -5,6 +5,7 @@ All start from the events table through the lap view and read it whole.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -564,9 +565,7 @@ def _monitored(spark, d) -> LiveTables:
     """The monitor's tables after a drained stream of all messages."""
 
     def make(root: str) -> LiveTables:
-        sent = replay.replay_messages(weather_events(spark, d), event_time=EVENT_TIME)
-        sent = sent.unionByName(replay.heartbeat(spark, RACE_OVER))
-        replay.publish_to_files(sent, f"{root}/messages")
+        replay.publish_race_files(weather_events(spark, d), f"{root}/messages", EVENT_TIME, RACE_OVER)
         tables = LiveTables(spark, f"{root}/tables")
         source = replay.file_source(spark, f"{root}/messages", bytes_per_batch=1 << 30)
         now = F.lit(UPDATED).cast("timestamp")
@@ -605,12 +604,14 @@ def _monitored_shuffled(spark, d) -> LiveTables:
 
     def make(root: str) -> LiveTables:
         sent = replay.replay_messages(weather_events(spark, d), event_time=EVENT_TIME)
-        sent.repartition(6, F.xxhash64("key", "lap_number")).write.parquet(f"{root}/messages")
+        # Three batches, each of as many files as keep the tasks busy that write and read them.
+        per_batch = 2 * math.ceil(spark.sparkContext.defaultParallelism / 6)
+        sent.repartition(3 * per_batch, F.xxhash64("key", "lap_number")).write.parquet(f"{root}/messages")
         tables, now = LiveTables(spark, f"{root}/tables"), F.lit(UPDATED).cast("timestamp")
         for last in (False, True):
             if last:
                 replay.heartbeat(spark, RACE_OVER).coalesce(1).write.mode("append").parquet(f"{root}/messages")
-            source = replay.file_source(spark, f"{root}/messages", files_per_batch=2)
+            source = replay.file_source(spark, f"{root}/messages", files_per_batch=per_batch)
             start_monitor(source, tables, f"{root}/checkpoint", drain=True, now=now).awaitTermination()
         return tables
 

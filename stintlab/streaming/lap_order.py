@@ -8,7 +8,7 @@ given up. State is thus bounded by the laps of one driver within the lateness al
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,20 +37,33 @@ def run_lengths(up: np.ndarray, before: int) -> np.ndarray:
     return np.where(up, place - last_break, 0)
 
 
-def ready_laps(laps: np.ndarray, last: int) -> int:
+def ready_count(laps: Iterable[int], last: int) -> int:
     """How many of some sorted laps follow the last one, or each other, without a gap."""
-    reached = np.maximum.accumulate(np.concatenate([[last], laps]))[:-1]
-    gaps = np.flatnonzero(laps > reached + 1)
-    return int(gaps[0]) if len(gaps) else len(laps)
+    n = 0
+    for lap in laps:
+        if lap > last + 1:
+            break
+        n, last = n + 1, max(last, lap)
+    return n
+
+
+def ready_laps(laps: np.ndarray, last: int) -> int:
+    """ready_count of an array."""
+    return ready_count(laps.tolist(), last)
 
 
-_WAITING = ["lap", "serial", "at", "up", "event"]
+# What the count needs of an event, and the event itself.
+_FIELDS = ["lap", "at", "up", "event"]
+# Laps that wait in one entry of the state at most.
+_ENTRY_LAPS = 256
 
 
 class LapOrder(StatefulProcessor):
     """Counts the run of HIGH laps of one driver in lap order.
 
-    Laps without a number, and laps that come after their place was given up, count when they arrive.
+    Laps without a number, and laps that come after their place was given up, count when they arrive. Rows
+    are handled as plain values, as a driver has few of them in a batch; what waits is kept by batch, many
+    laps to an entry of the state.
     """
 
     def __init__(self, idle_ms: int | None):
@@ -58,52 +71,73 @@ class LapOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # Last lap, run, rows that ever waited, rows that wait, and when the driver counts as gone.
+        # Last lap, run, next entry, laps that wait, and when the driver counts as gone.
         self.place = handle.getValueState("place", "last bigint, run bigint, serial bigint, held bigint, gone_at bigint")
-        self.waiting = handle.getMapState("waiting", "lap bigint, serial bigint", "at bigint, up boolean, event string")
-
-    def _held(self) -> pd.DataFrame:
-        rows = [(*k, *v) for k, v in self.waiting.iterator()]
-        return pd.DataFrame(rows, columns=_WAITING).sort_values(["lap", "serial"], kind="stable")
-
-    def _pass_on(self, rows: pd.DataFrame, last: int, run: int) -> tuple[pd.DataFrame, int, int]:
-        runs = run_lengths(rows["up"].to_numpy(dtype=bool), run)
-        if len(rows):
-            run = int(runs[-1])
-            known = rows["lap"].max()
-            last = last if pd.isna(known) else max(last, int(known))
-        return pd.DataFrame({"event": rows["event"].to_numpy(), "consecutive_high": runs}), last, run
+        waiting = "laps array<bigint>, ats array<bigint>, ups array<boolean>, events array<string>"
+        self.waiting = handle.getMapState("waiting", "serial bigint", waiting)
+
+    def _held(self) -> list[tuple]:
+        """(lap, entry, place in it, at, up, event) of the laps that wait, in lap order."""
+        rows = [
+            (int(lap), int(serial), i, int(at), bool(up), event)
+            for (serial,), kept in self.waiting.iterator()
+            for i, (lap, at, up, event) in enumerate(zip(*kept))
+        ]
+        return sorted(rows, key=lambda r: r[:3])
+
+    def _keep(self, serial: int, rows: list[tuple]) -> None:
+        """Write an entry; rows are in lap order, repeats of a lap in order of arrival."""
+        laps, _, _, ats, ups, events = zip(*rows)
+        self.waiting.updateValue((serial,), (list(laps), list(ats), list(ups), list(events)))
+
+    def _release(self, ready: list[tuple], rest: list[tuple], kept: set[int]) -> None:
+        """Take laps out of the entries they wait in; what still waits of an entry is written back."""
+        for serial in {r[1] for r in ready} & kept:
+            left = [r for r in rest if r[1] == serial]
+            if left:
+                self._keep(serial, left)
+            else:
+                self.waiting.removeKey((serial,))
+
+    @staticmethod
+    def _pass_on(rows: list[tuple], last: int, run: int, events: list, runs: list) -> tuple[int, int]:
+        for lap, _, _, _, up, event in rows:
+            run = run + 1 if up else 0
+            events.append(event)
+            runs.append(run)
+            last = last if lap is None else max(last, lap)
+        return last, run
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
         last, run, serial, held, gone_at = self.place.get() or (0, 0, 0, 0, -1)
-        unknown = new["lap"].isna()
-        if unknown.any():
-            out, last, run = self._pass_on(new[unknown], last, run)
-            yield out
-        new = new[~unknown].sort_values("lap", kind="stable")
-        new["serial"] = np.arange(serial, serial + len(new))
-        new["kept"] = False
+        unknown, new = [], []
+        for part in rows:
+            for lap, at, up, event in zip(*[part[c].tolist() for c in _FIELDS]):
+                if lap is None or lap != lap:
+                    unknown.append((None, serial, 0, int(at), bool(up), event))
+                else:
+                    new.append((int(lap), serial, len(new), int(at), bool(up), event))
+        events, runs = [], []
+        last, run = self._pass_on(unknown, last, run, events, runs)
+        new += self._held() if held else []
+        new.sort(key=lambda r: r[:3])
+        cut = ready_count((r[0] for r in new), last)
+        ready, rest = new[:cut], new[cut:]
+        last, run = self._pass_on(ready, last, run, events, runs)
         if held:
-            new = pd.concat([self._held().assign(kept=True), new[[*_WAITING, "kept"]]], ignore_index=True)
-            new = new.sort_values(["lap", "serial"], kind="stable")
-        cut = ready_laps(new["lap"].to_numpy(dtype=np.int64), last)
-        ready, rest = new.iloc[:cut], new.iloc[cut:]
-        if len(ready):
-            out, last, run = self._pass_on(ready, last, run)
-            yield out
-        for lap, number in ready.loc[ready["kept"], ["lap", "serial"]].itertuples(index=False):
-            self.waiting.removeKey((int(lap), int(number)))
-        fresh = rest[~rest["kept"]]
-        for lap, number, at, up, event in fresh[_WAITING].itertuples(index=False):
-            self.waiting.updateValue((int(lap), int(number)), (int(at), bool(up), event))
-            serial = max(serial, int(number) + 1)
-        for at in sorted(set(fresh["at"].astype("int64"))):
-            self.handle.registerTimer(int(at))
-        if self.idle_ms and len(new):
-            gone_at = max(gone_at, int(new["at"].max()) + self.idle_ms)
+            self._release(ready, rest, {r[1] for r in new if r[1] != serial})
+        fresh = [r for r in rest if r[1] == serial]
+        for first in range(0, len(fresh), _ENTRY_LAPS):
+            self._keep(serial, fresh[first : first + _ENTRY_LAPS])
+            serial += 1
+        for at in sorted({r[3] for r in fresh}):
+            self.handle.registerTimer(at)
+        if self.idle_ms and new:
+            gone_at = max(gone_at, max(r[3] for r in new) + self.idle_ms)
             self.handle.registerTimer(gone_at)
-        self.place.update((last, run, serial if len(rest) else 0, len(rest), gone_at))
+        self.place.update((last, run, serial if rest else 0, len(rest), gone_at))
+        if events:
+            yield pd.DataFrame({"event": events, "consecutive_high": runs})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         place = self.place.get()
@@ -111,24 +145,23 @@ class LapOrder(StatefulProcessor):
             return
         last, run, serial, held, gone_at = place
         now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        events, runs = [], []
         if held:
             rows = self._held()
-            due = rows.loc[rows["at"] <= now, "lap"]
-            last_due = int(due.max()) if len(due) else last
-            laps = rows["lap"].to_numpy(dtype=np.int64)
-            cut = int(np.searchsorted(laps, last_due, side="right"))
-            cut += ready_laps(laps[cut:], max(last, last_due))
-            if len(due):
-                ready = rows.iloc[:cut]
-                out, last, run = self._pass_on(ready, last, run)
-                yield out
-                for lap, number in ready[["lap", "serial"]].itertuples(index=False):
-                    self.waiting.removeKey((int(lap), int(number)))
-                held = len(rows) - cut
+            due = max((r[0] for r in rows if r[3] <= now), default=None)
+            if due is not None:
+                cut = sum(r[0] <= due for r in rows)
+                cut += ready_count((r[0] for r in rows[cut:]), max(last, due))
+                ready, rest = rows[:cut], rows[cut:]
+                last, run = self._pass_on(ready, last, run, events, runs)
+                self._release(ready, rest, {r[1] for r in rows})
+                held = len(rest)
         if self.idle_ms and 0 <= gone_at <= now and not held:
             self.place.clear()
-        else:
+        elif events or held != place[3]:
             self.place.update((last, run, serial if held else 0, held, gone_at))
+        if events:
+            yield pd.DataFrame({"event": events, "consecutive_high": runs})
 
     def close(self) -> None:
         pass
