@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import math
 from collections.abc import Iterator
 
@@ -13,7 +11,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.sources.shipping import ship_package
+from stintlab.sources.shipping import give_back, ship_package
 from stintlab.sources.tables import stage
 
 __all__ = ["column_slices", "crc_fold", "give_back", "hash_share", "kept_by_marks", "read", "row_key", "ship_package", "stage"]
@@ -41,19 +39,6 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[c for name in columns for c in (F.col(name), F.col(name).isNull())])
 
 
-def give_back() -> None:
-    """Return to the system what earlier tasks of this worker process have freed.
-
-    Workers live on from task to task, and neither the allocator nor Arrow's pool gives memory back by
-    itself, so without this a worker keeps the most that any of its tasks has needed.
-    """
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def column_slices(
     batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stintlab.config import RULES, SCALE, Rules, Scale
 from stintlab.operators.quantiles import exact_quantiles
 from stintlab.schemas import ANOMALY_FEATURES, LAP_ORDER, STINT_KEYS, require
-from stintlab.sources.shipping import ship_package
+from stintlab.sources.shipping import give_back, ship_package
 from stintlab.sources.tables import path_exists, stage, write_table
 
 log = logging.getLogger("stintlab")
@@ -175,6 +175,7 @@ def fit_forest(
     seed = rules.forest_seed
 
     def grow(key, group):
+        give_back()
         tree = int(key[0])
         # The sample is in a fixed order, though no node depends on it.
         sample = group.sort_values(["chance", "key"])[columns].to_numpy(dtype=np.float64)
@@ -237,6 +238,7 @@ def raw_score(forest: Forest) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        give_back()
         walker = shared.value
         for batch in batches:
             rows = np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])

@@ -1,11 +1,14 @@
-"""Make this package importable in Python workers."""
+"""What Python workers need: this package, and memory given back between tasks."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import shutil
 import tempfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
@@ -22,3 +25,16 @@ def ship_package(spark: SparkSession) -> None:
     # Spark itself hands the file to the executors.
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+def give_back() -> None:
+    """Return to the system what earlier tasks of this worker process have freed.
+
+    Workers live on from task to task, and neither the allocator nor Arrow's pool gives memory back by
+    itself, so without this a worker keeps the most that any of its tasks has needed.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
