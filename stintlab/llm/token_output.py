@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stintlab.llm.common import column_slices, give_back, hash_share, ship_package
-from stintlab.llm.vocab import ByteEncoder, load_file
+from stintlab.llm.vocab import byte_encoder, load_file
 from stintlab.sources.tables import staged_dir
 
 
@@ -68,7 +68,7 @@ def _sampled_ids(docs: DataFrame, shared, rules: OutputRules) -> list[bytes]:
     share = min(1.0, rules.sample_docs / max(1, docs.count()))
 
     def run(batches):
-        encoder = ByteEncoder(shared.value)
+        encoder = byte_encoder(shared.value)
         for part in column_slices(batches, "text"):
             ids = map(encoder.encode, part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([x[: rules.sample_bytes] for x in ids], pa.binary())], names=["ids"])
@@ -100,7 +100,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, rules: OutputR
 
         give_back()
         shard = TaskContext.get().partitionId()
-        encoder = ByteEncoder(shared.value)
+        encoder = byte_encoder(shared.value)
         squeeze = zstandard.ZstdCompressor(level=rules.level, dict_data=_dictionary(sent.value)).compress
         block, before = 0, 0
         ids: list[int | None] = []
