@@ -11,10 +11,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlab.sources.shipping import give_back, ship_package
+from stintlab.sources.shipping import give_back, lean, ship_package
 from stintlab.sources.tables import stage
 
-__all__ = ["column_slices", "crc_fold", "give_back", "hash_share", "kept_by_marks", "read", "row_key", "ship_package", "stage"]
+__all__ = ["column_slices", "crc_fold", "give_back", "hash_share", "kept_by_marks", "lean", "read", "row_key", "ship_package", "stage"]
 
 # Text handled at once inside a task.
 CHUNK_BYTES = 4 << 20
@@ -80,4 +80,4 @@ def kept_by_marks(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
             p = batch.column(batch.schema.get_field_index(column)).to_numpy(zero_copy_only=False) & (8 * len(own) - 1)
             yield batch.filter(pa.array((own[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(lean(run), rows.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, ship_package, stage
+from stintlab.llm.common import column_slices, lean, ship_package, stage
 
 ONE = 1_000_000
 _WORDS = re.compile(r"\w+").findall
@@ -236,7 +236,7 @@ def leak_indexes(benchmark: DataFrame, rules: LeakRules = LeakRules()) -> list[L
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=["item_id", "piece", "word", "times", "piece_length"]
             )
 
-    terms = stage(items.mapInArrow(cut, _TERMS))
+    terms = stage(items.mapInArrow(lean(cut), _TERMS))
     sizes = terms.select("item_id", "piece", "piece_length").distinct()
     n, mean = sizes.agg(F.count("*"), F.avg("piece_length")).first()
     postings = terms.count()
@@ -293,7 +293,7 @@ def find_leaks(docs: DataFrame, indexes: list[LeakIndex]) -> DataFrame:
                 names = [c.split()[0] for c in _LEAKS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-        return narrow.mapInArrow(run, _LEAKS)
+        return narrow.mapInArrow(lean(run), _LEAKS)
 
     found = spark.createDataFrame([], _LEAKS)
     for index in indexes:
@@ -313,5 +313,5 @@ def drop_leaks(docs: DataFrame, indexes: list[LeakIndex]) -> DataFrame:
                 clean = [not shared.value.find(t) for t in part.column("text").to_pylist()]
                 yield part.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

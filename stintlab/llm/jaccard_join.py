@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, give_back, hash_share, row_key, ship_package, stage
+from stintlab.llm.common import column_slices, hash_share, lean, row_key, ship_package, stage
 from stintlab.llm.components import connected_components
 
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -221,7 +221,7 @@ def _estimate_costs(docs: DataFrame, n: int, rules: JoinRules) -> Costs:
 
     drawn = docs.filter(hash_share(F.col("doc_id"), 4) < share).select("text")
     often = (
-        drawn.mapInArrow(count, "signature long, n long").groupBy("signature").agg(F.sum("n").alias("n"))
+        drawn.mapInArrow(lean(count), "signature long, n long").groupBy("signature").agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= rules.costly_from).toPandas()
     )
     return Costs(often["signature"].to_numpy(dtype=np.int64).view(np.uint64), often["n"].to_numpy(dtype=np.int64))
@@ -234,7 +234,6 @@ def _index(shared, buckets: int, rules: JoinRules):
     """Signatures of each node, packed by bucket: 32 bits of the signature and the node."""
 
     def run(batches):
-        give_back()
         costs: Costs = shared.value
         done: set[int] = set()
         for part in column_slices(batches, "text"):
@@ -324,7 +323,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, rules: JoinRules) -> DataFrame
                 nodes = [node_of(s) for s in shingle_sets(part.column("text").to_pylist(), rules.words)]
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), part.column("text")], names=["node", "text"])
 
-    return docs.select(place.alias("p"), "text").mapInArrow(run, "node long, text string")
+    return docs.select(place.alias("p"), "text").mapInArrow(lean(run), "node long, text string")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, rules: JoinRules) -> DataFrame:
@@ -338,7 +337,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame, rules: JoinRules) -> DataFrame
             keep = [least_different(x, y) <= _may_differ(na, nb, rules) for na, nb, x, y in zip(*columns)]
             yield part.select(["a", "b", "rep_a", "rep_b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").filter(near).mapInArrow(run, "a long, b long, rep_a long, rep_b long")
+    return pairs.join(left, "a").join(right, "b").filter(near).mapInArrow(lean(run), "a long, b long, rep_a long, rep_b long")
 
 
 def _compare(possible: DataFrame, docs: DataFrame, rules: JoinRules) -> DataFrame:
@@ -351,7 +350,6 @@ def _compare(possible: DataFrame, docs: DataFrame, rules: JoinRules) -> DataFram
     joined = wanted.select("a", "b").join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches):
-        give_back()
         last, kept = None, None
         for part in column_slices(batches, "text_b"):
             ids = part.column("a").to_pylist()
@@ -369,7 +367,7 @@ def _compare(possible: DataFrame, docs: DataFrame, rules: JoinRules) -> DataFram
                 names=["a", "b", "both", "either"],
             )
 
-    return stage(joined.mapInArrow(run, "a long, b long, both long, either long"))
+    return stage(joined.mapInArrow(lean(run), "a long, b long, both long, either long"))
 
 
 class _Sketches:
@@ -518,7 +516,6 @@ def _classes(docs: DataFrame, rules: JoinRules) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("row"), "text")
 
     def measure(batches):
-        give_back()
         for part in column_slices(batches, "text"):
             sets = shingle_sets(part.column("text").to_pylist(), rules.words)
             yield pa.RecordBatch.from_arrays(
@@ -527,7 +524,7 @@ def _classes(docs: DataFrame, rules: JoinRules) -> DataFrame:
                 names=["row", "doc_id", "n_shingles", "node", "sketch"],
             )
 
-    sets = stage(narrow.mapInArrow(measure, "row long, doc_id long, n_shingles long, node long, sketch binary"))
+    sets = stage(narrow.mapInArrow(lean(measure), "row long, doc_id long, n_shingles long, node long, sketch binary"))
     known = narrow.filter(F.col("doc_id").isNotNull())
     real = sets.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = stage(real.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")))
@@ -535,7 +532,7 @@ def _classes(docs: DataFrame, rules: JoinRules) -> DataFrame:
 
     shared = spark.sparkContext.broadcast(_estimate_costs(known, sets.count(), rules))
     buckets = max(1, math.ceil((shingles or 0) / 2 / rules.bucket_entries))
-    indexed = known.select("text").mapInArrow(_index(shared, buckets, rules), "bucket int, keys binary, nodes binary")
+    indexed = known.select("text").mapInArrow(lean(_index(shared, buckets, rules)), "bucket int, keys binary, nodes binary")
     groups = stage(indexed.groupBy("bucket").applyInArrow(_group, _GROUPS))
     groups = stage(groups.distinct())
 

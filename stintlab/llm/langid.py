@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, hash_share, ship_package
+from stintlab.llm.common import column_slices, hash_share, lean, ship_package
+from stintlab.sources.shipping import kept_in_worker
 
 UNKNOWN = "und"
 
@@ -63,7 +63,7 @@ class LanguageModel:
     rules: LanguageRules = field(default_factory=LanguageRules)
 
 
-@lru_cache(maxsize=1 << 16)
+@kept_in_worker(maxsize=1 << 16)
 def _pieces(word: str) -> tuple[str, ...]:
     """The word, or its pieces of one script and no more than _WORD_LETTERS letters.
 
@@ -185,7 +185,7 @@ def train_languages(docs: DataFrame, labelled: Column, rules: LanguageRules = La
                 [pa.array([lang] * len(at)), pa.array(at, pa.int64()), pa.array(total[at])], names=["lang", "at", "n"]
             )
 
-    counted = drawn.mapInArrow(count, "lang string, at long, n double").groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()
+    counted = drawn.mapInArrow(lean(count), "lang string, at long, n double").groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((width, len(languages)))
     table[counted["at"].to_numpy(dtype=np.int64), [languages.index(l) for l in counted["lang"]]] = counted["n"].to_numpy(dtype=float)
     grams, letters = table[: rules.buckets] + rules.smoothing, table[rules.buckets :]
@@ -316,7 +316,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 names=["doc_id", "lang_pred", "score", "n_spans"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PREDICTED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), _PREDICTED)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
@@ -340,4 +340,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -
             total, most = mass.sum(axis=1), mass[:, :-1].max(axis=1)
             yield part.filter(pa.array((most > 0) & (most >= least * total)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

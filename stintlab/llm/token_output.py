@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stintlab.llm.common import column_slices, give_back, hash_share, ship_package
+from stintlab.llm.common import column_slices, hash_share, lean, ship_package
 from stintlab.llm.vocab import byte_encoder, load_file
 from stintlab.sources.tables import staged_dir
 
@@ -74,7 +74,7 @@ def _sampled_ids(docs: DataFrame, shared, rules: OutputRules) -> list[bytes]:
             yield pa.RecordBatch.from_arrays([pa.array([x[: rules.sample_bytes] for x in ids], pa.binary())], names=["ids"])
 
     drawn = docs.filter(hash_share(F.col("doc_id"), 3) < share).select("text")
-    return sorted(bytes(r["ids"]) for r in drawn.mapInArrow(run, "ids binary").collect() if r["ids"])
+    return sorted(bytes(r["ids"]) for r in drawn.mapInArrow(lean(run, byte_encoder), "ids binary").collect() if r["ids"])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, rules: OutputRules = OutputRules()) -> None:
@@ -98,7 +98,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, rules: OutputR
         import zstandard
         from pyspark import TaskContext
 
-        give_back()
         shard = TaskContext.get().partitionId()
         encoder = byte_encoder(shared.value)
         squeeze = zstandard.ZstdCompressor(level=rules.level, dict_data=_dictionary(sent.value)).compress
@@ -135,7 +134,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, rules: OutputR
     order = ["doc_id", F.xxhash64("text")]
     (
         narrow.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(run, _BLOCKS).write.parquet(f"{path}/blocks")
+        .mapInArrow(lean(run, byte_encoder), _BLOCKS).write.parquet(f"{path}/blocks")
     )
 
 
@@ -155,7 +154,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         import zstandard
 
-        give_back()
         expand = zstandard.ZstdDecompressor(dict_data=_dictionary(sent.value)).decompress
         for batch in batches:
             for i in range(batch.num_rows):
@@ -175,7 +173,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     placed = blocks.join(F.broadcast(starts), "shard")
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(lean(run, byte_encoder), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:

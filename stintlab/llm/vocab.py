@@ -14,7 +14,8 @@ import re
 import sys
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
+
+from stintlab.sources.shipping import kept_in_worker
 
 # Pre-tokens a task keeps; beyond it the cache starts anew.
 CACHE_WORDS = 400_000
@@ -120,7 +121,7 @@ class ByteEncoder(_Tokenizer):
         return b"".join(map(self._look_up(), self.split(text)))
 
 
-@lru_cache(maxsize=1)
+@kept_in_worker(maxsize=1)
 def byte_encoder(source: str) -> ByteEncoder:
     """The encoder of a worker process, with what earlier tasks of the process have met; the last file's only."""
     return ByteEncoder(source)
