@@ -38,6 +38,8 @@ _SCRIPT_OF = np.array([_NAMES.index(n) for _, n in SCRIPTS])
 _WORDS = re.compile(r"[^\W\d_]+").findall
 # Longer words are cut into pieces of so many letters, and words of several scripts where they change.
 _WORD_LETTERS = 32
+# Distinct words whose n-grams are held at once.
+_AT_ONCE = 10_000
 # Letters before a cut that the piece after it carries along for its n-grams, at most.
 _CARRIED = 8
 
@@ -172,10 +174,10 @@ def train_languages(docs: DataFrame, labelled: Column, rules: LanguageRules = La
                 distinct, which = _distinct(words)
                 times = np.bincount(which, minlength=len(distinct))
                 total = totals.setdefault(lang, np.zeros(width))
-                for at in range(0, len(distinct), 50_000):
-                    some = distinct[at : at + 50_000]
+                for at in range(0, len(distinct), _AT_ONCE):
+                    some = distinct[at : at + _AT_ONCE]
                     lengths = np.fromiter((len(_own(w)) for w in some), np.int64, len(some))
-                    weight = times[at : at + 50_000]
+                    weight = times[at : at + _AT_ONCE]
                     for buckets, real in _grams(*_codes(some, rules), rules):
                         total += np.bincount(buckets[real], np.broadcast_to(weight[:, None], real.shape)[real], minlength=width)
                     total += np.bincount(rules.buckets + _first_script(some), weight * lengths, minlength=width)
@@ -200,9 +202,9 @@ def _word_scores(words: list[str], model: LanguageModel) -> tuple[np.ndarray, np
     """
     out = np.zeros((len(words), len(model.languages)), dtype=np.float32)
     sizes = np.zeros(len(words), dtype=np.int64)
-    for at in range(0, len(words), 50_000):
-        some = words[at : at + 50_000]
-        score = out[at : at + 50_000]
+    for at in range(0, len(words), _AT_ONCE):
+        some = words[at : at + _AT_ONCE]
+        score = out[at : at + _AT_ONCE]
         for buckets, real in _grams(*_codes(some, model.rules), model.rules):
             for column in range(buckets.shape[1]):
                 rows = np.flatnonzero(real[:, column])
@@ -211,7 +213,7 @@ def _word_scores(words: list[str], model: LanguageModel) -> tuple[np.ndarray, np
         known = allowed.any(axis=1)
         score[~known] = 0.0
         score[known[:, None] & ~allowed] = -np.inf
-        sizes[at : at + 50_000] = np.fromiter((_letters(_own(w)) for w in some), np.int64, len(some))
+        sizes[at : at + _AT_ONCE] = np.fromiter((_letters(_own(w)) for w in some), np.int64, len(some))
     return out, sizes
 
 

@@ -123,3 +123,14 @@ def test_null_ids_are_in_no_fold(spark, tmp_path):
     for name in ("op10_language_id", "op5_quality"):
         held = {r["doc_id"]: r["held_out"] for r in queries.QUERIES[name](spark, str(tmp_path)).collect()}
         assert held[None] is False and None not in held.values() and True in held.values()
+
+
+def test_words_scored_few_at_once(monkeypatch):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x" for i in range(60)]
+    rules = langid.LanguageRules(buckets=64)
+    table = np.arange(128, dtype=np.float32).reshape(64, 2)
+    model = langid.LanguageModel(["a", "b"], table, np.ones((len(langid._NAMES), 2), bool), rules)
+    whole, grams, seen = langid._word_scores(words, model), langid._grams, []
+    monkeypatch.setattr(langid, "_grams", lambda codes, *rest: seen.append(len(codes)) or grams(codes, *rest))
+    monkeypatch.setattr(langid, "_AT_ONCE", 7)
+    assert all((a == b).all() for a, b in zip(whole, langid._word_scores(words, model))) and max(seen) == 7
