@@ -28,6 +28,9 @@ from stintlab.llm.common import column_slices, hash_share, lean, ship_package
 from stintlab.llm.vocab import byte_encoder, load_file
 from stintlab.sources.tables import staged_dir
 
+# Text encoded at once inside a task: the arrays over its bytes and words take some twenty times as much.
+ENCODED_BYTES = 1 << 20
+
 
 @dataclass(frozen=True)
 class OutputRules:
@@ -69,8 +72,8 @@ def _sampled_ids(docs: DataFrame, shared, rules: OutputRules) -> list[bytes]:
 
     def run(batches):
         encoder = byte_encoder(shared.value)
-        for part in column_slices(batches, "text"):
-            ids = map(encoder.encode, part.column("text").to_pylist())
+        for part in column_slices(batches, "text", ENCODED_BYTES):
+            ids = encoder.encode_all(part.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array([x[: rules.sample_bytes] for x in ids], pa.binary())], names=["ids"])
 
     drawn = docs.filter(hash_share(F.col("doc_id"), 3) < share).select("text")
@@ -116,8 +119,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, rules: OutputR
             )
 
         size = 0
-        for part in column_slices(batches, "text"):
-            for doc, raw in zip(part.column("doc_id").to_pylist(), map(encoder.encode, part.column("text").to_pylist())):
+        for part in column_slices(batches, "text", ENCODED_BYTES):
+            for doc, raw in zip(part.column("doc_id").to_pylist(), encoder.encode_all(part.column("text"))):
                 raw += end
                 frame = squeeze(raw)
                 ids.append(doc)
