@@ -24,7 +24,7 @@ from stintlab.plans.batch import Layout, score_laps, write_events, write_feature
 from stintlab.schemas import BASELINE_KEYS, FIELD_KEYS, LAP_DDL, STINT_KEYS, names_of
 from stintlab.sources import laps as store
 from stintlab.sources import replay
-from stintlab.sources.tables import fingerprint, shared_dir, stage
+from stintlab.sources.tables import fingerprint, free_shuffles, shared_dir, stage
 from stintlab.streaming.monitor import LiveTables, start_monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -602,11 +602,18 @@ def stream_header(spark, d):
 def _monitored_shuffled(spark, d) -> LiveTables:
     """The same with laps in any order over several micro-batches, and a restart before the last of them."""
 
+    # Three batches, each of as many files as keep the tasks busy that write and read them.
+    per_batch = 2 * math.ceil(spark.sparkContext.defaultParallelism / 6)
+
+    def publish(path: str) -> None:
+        # Laid out before they become text, which is twice as large.
+        laid = weather_events(spark, d).repartition(3 * per_batch, F.xxhash64("driver_code", "lap_number"))
+        sent = replay.replay_messages(laid, event_time=EVENT_TIME)
+        sent.write.option("compression", "zstd").parquet(path)
+
     def make(root: str) -> LiveTables:
-        sent = replay.replay_messages(weather_events(spark, d), event_time=EVENT_TIME)
-        # Three batches, each of as many files as keep the tasks busy that write and read them.
-        per_batch = 2 * math.ceil(spark.sparkContext.defaultParallelism / 6)
-        sent.repartition(3 * per_batch, F.xxhash64("key", "lap_number")).write.parquet(f"{root}/messages")
+        publish(f"{root}/messages")
+        free_shuffles(spark)
         tables, now = LiveTables(spark, f"{root}/tables"), F.lit(UPDATED).cast("timestamp")
         for last in (False, True):
             if last:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -94,6 +96,28 @@ def drop_staged(spark: SparkSession) -> None:
     remove(spark, staged_dir(spark))
 
 
+# When an application last let go of its shuffles.
+_freed: dict[str, float] = {}
+
+
+def free_shuffles(spark: SparkSession, every_s: float = 0.0, wait_s: float = 1.5) -> None:
+    """Let Spark remove the shuffle files of jobs whose results nothing refers to any more.
+
+    It does so when the driver's JVM collects the plans, which one with memory to spare does late. What Python
+    has just let go of is known there a second later, so wait_s is waited for it. With every_s set, a call
+    within as many seconds of the last one does nothing.
+    """
+    app, now = spark.sparkContext.applicationId, time.monotonic()
+    if now - _freed.get(app, -every_s) < every_s:
+        return
+    # What the first round frees may have held on to more.
+    for _ in range(2):
+        gc.collect()
+        time.sleep(wait_s)
+        spark._jvm.java.lang.System.gc()
+    _freed[app] = time.monotonic()
+
+
 def source_bytes(df: DataFrame) -> int:
     """Total size of what a plan reads, after pruning, as Spark knows it; no job is run.
 

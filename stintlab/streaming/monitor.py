@@ -17,10 +17,15 @@ from stintlab.config import RULES, Rules
 from stintlab.operators import live
 from stintlab.schemas import LIVE_KEYS
 from stintlab.sources.replay import decode_messages
+from stintlab.sources.tables import free_shuffles
 from stintlab.streaming.lap_order import timed, track_runs
 from stintlab.streaming.live_log import Fold, LiveLog, Version
 
 _ORDER = "lap_number"
+# What the tables and the order of laps are made of; no other field of a message is read, sent or kept.
+_READ = [*LIVE_KEYS, _ORDER, "event_time", "clean_lap", *live.STATE_FIELDS.values(), *live.HISTORY_FIELDS]
+# Seconds between two times at which the shuffles of earlier batches are let go.
+_FREE_EVERY_S = 15.0
 _METRICS = "rows bigint, alerts bigint, batch_id bigint"
 
 
@@ -130,6 +135,7 @@ def write_batch(
     if log.has(batch_id):
         return
     spark, written = batch.sparkSession, {}
+    free_shuffles(spark, _FREE_EVERY_S, wait_s=0)
     now = F.current_timestamp() if now is None else now
 
     def put(df: DataFrame, table: str) -> None:
@@ -172,7 +178,7 @@ def start_monitor(
     a missing lap when the input ends stays in the checkpoint until the watermark moves on, by later events
     or by a heartbeat. dedup_delay, if given, is the lateness and turns the duplicate guard on.
     """
-    events = timed(decode_messages(messages), dedup_delay or lateness)
+    events = timed(decode_messages(messages, _READ), dedup_delay or lateness).drop("event_time")
     if dedup_delay:
         events = deduplicated(events)
     counted = track_runs(events, idle)
